@@ -1,0 +1 @@
+"""Random forest training, search, evaluation and scoring with pyspark.ml."""

@@ -203,3 +203,41 @@ def inner_text(fragment: str) -> str:
     for entity, char in ENTITIES.items():
         out = f"replace({out}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
+
+
+NAMES_RAW = f"""
+names_raw as (
+  select c_custkey as key, case c_custkey % 8
+    when 0 then {person("c_custkey")}
+    when 1 then {person("c_custkey")} || 'United States'
+    when 2 then '  ' || replace({person("c_custkey")}, ' ', ' ' || chr(9) || ' ') || ' South Africa '
+    when 3 then 'Relay ' || {person("c_custkey")}
+    when 4 then {at(FIRST_NAMES, "c_custkey % 8")}
+    when 5 then c_name
+    when 6 then {person("c_custkey")} || ' and ' || {person("(c_custkey + 1)")}
+    else {person("c_custkey")} || ' Junior' || 'Japan' end as raw_name
+  from customer
+)"""
+
+
+def tidy(col: str) -> str:
+    return f"trim(regexp_replace({col}, '\\s+', ' ', 'g'))"
+
+
+def bare(col: str) -> str:
+    from laptrace.vocab import COUNTRY_SUFFIXES
+
+    return f"trim(regexp_replace({col}, '({'|'.join(COUNTRY_SUFFIXES)})$', ''))"
+
+
+def valid_person(col: str) -> str:
+    return (f"({col} is not null and not regexp_matches(lower({col}), 'relay|team|&| and |,') and length({col}) >= 3 "
+            f"and not regexp_matches({col}, '[0-9]') and len(string_split({col}, ' ')) >= 2)")
+
+
+def two_words(col: str) -> str:
+    return f"array_to_string((string_split({col}, ' '))[1:2], ' ')"
+
+
+def case_chain(arms: list[tuple[str, str]], default: str) -> str:
+    return "(case " + " ".join(f"when {c} then {v}" for c, v in arms) + f" else {default} end)"

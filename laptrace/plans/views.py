@@ -168,3 +168,37 @@ def race_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("page_id"), c.alias("athlete_id"),
         F.concat(F.lit("/results/"), s(k)).alias("url"),
         F.when(k % 50 == 7, blocked).otherwise(html).alias("html"))
+
+
+def names_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name texts as they come off pages: tidy, glued to a country, or not a person at all."""
+    k = F.col("c_custkey")
+    who = person(k)
+    return table(spark, sf_dir, "customer").select(
+        k.alias("key"),
+        F.when(k % 8 == 0, who)
+        .when(k % 8 == 1, F.concat(who, F.lit("United States")))
+        .when(k % 8 == 2, F.concat(F.lit("  "), F.replace(who, F.lit(" "), F.lit(" \t ")), F.lit(" South Africa ")))
+        .when(k % 8 == 3, F.concat(F.lit("Relay "), who))
+        .when(k % 8 == 4, pick(FIRST_NAMES, k % 8))
+        .when(k % 8 == 5, F.col("c_name"))
+        .when(k % 8 == 6, F.concat(who, F.lit(" and "), person(k + 1)))
+        .otherwise(F.concat(who, F.lit(" Junior"), F.lit("Japan"))).alias("raw_name"))
+
+
+def entered_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON answer per customer, some fenced, some cut off, with gaps."""
+    k = F.col("c_custkey")
+    body = F.to_json(F.struct(
+        F.col("c_name").alias("name"),
+        F.when(k % 3 != 0, F.lit("1997-03-17")).alias("dob"),
+        F.when(k % 4 != 0, 150 + k % 50).alias("height_cm"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.lit("female")).alias("gender"),
+        F.when(k % 6 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("Women's 50m Freestyle")))
+        .alias("paris_2024_races"),
+    ))
+    return table(spark, sf_dir, "customer").select(
+        k.alias("key"),
+        F.when(k % 9 == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+        .when(k % 9 == 2, F.concat(F.lit("```\n"), body, F.lit("```")))
+        .when(k % 9 == 3, F.substring(body, 1, 20)).otherwise(body).alias("answer"))

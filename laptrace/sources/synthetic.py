@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -58,9 +59,10 @@ def synthetic_wide(keys: DataFrame, key: str, seed: int = SEED) -> DataFrame:
     for name in INDICATORS:
         columns[name] = flag(name, INDICATOR_SHARE)
     draw = hash_uniform(k, f"{seed}/label")
-    label, edge = F.lit(list(LABEL_SHARES)[-1]), sum(LABEL_SHARES.values())
-    for name in reversed(list(LABEL_SHARES)):
-        label = F.when(draw < round(edge, 6), F.lit(name)).otherwise(label)
-        edge -= LABEL_SHARES[name]
+    names = list(LABEL_SHARES)
+    edges = [round(e, 6) for e in accumulate(LABEL_SHARES.values())]
+    label = F.lit(names[-1])
+    for name, edge in reversed(list(zip(names, edges))):
+        label = F.when(draw < edge, F.lit(name)).otherwise(label)
     columns["Target_Olympic_Event"] = label
     return keys.select(*[c.alias(n) for n, c in columns.items()])
