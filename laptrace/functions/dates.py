@@ -13,37 +13,42 @@ _TEXT_DATE = (
     rf"{_MONTH}\s+\d{{1,2}}[–\-]\d{{1,2}},?\s+\d{{4}}"
     rf"|{_MONTH}\s+\d{{1,2}},?\s+\d{{4}}"
 )
-# fixed values: accepted formats once ISO and month-name dates are dealt with
-_OTHER_FORMATS = ["yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy-MM-dd HH:mm:ss", "yyyyMMdd"]
+# fixed values: accepted shapes besides ISO, each with its ISO or ``Mon d yyyy`` rewriting
+_MONTH_FIRST = (r"^.*?([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{1,2})(?!\d).*?(\d{4}).*$", "$1 $2 $3")
+_DAY_FIRST = (r"^(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?,?\s+(\d{4})$", "$2 $1 $3")
+_NUMERIC = [
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
+    (r"^(1[3-9]|2\d|3[01])/(\d{1,2})/(\d{4})$", "$3-$2-$1"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+]
+
+
+def _rewritten(text: Column, *rules: tuple[str, str]) -> Column:
+    for pattern, form in rules:
+        text = F.regexp_replace(text, pattern, form)
+    return text
 
 
 def race_date(text: Column) -> Column:
     """First day of a date or date range; null when the text is no real calendar day.
 
-    Month-name dates (single day or range, short or long month) are reduced to
-    ``Mon d yyyy``.  The common shapes are told apart by a cheap test first, so
-    that a row is not sent through every format in turn.
+    The common shapes are told apart by a cheap test, so that a row meets one parser
+    only: month-name dates (single day or range, short or long month) as ``Mon d yyyy``,
+    the rest as ISO dates.
     """
     t = F.trim(text)
-    day_one = F.regexp_replace(
-        t, r"^.*?([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{1,2})(?!\d).*?(\d{4}).*$", "$1 $2 $3"
-    )
-    by_month = F.try_to_date(day_one, "MMM d yyyy")
     return (
-        F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(t, "yyyy-MM-dd"))
-        .when(t.rlike("^[A-Za-z]"), by_month)
-        .when(t.rlike(r"\d"), F.coalesce(*[F.try_to_date(t, f) for f in _OTHER_FORMATS], by_month))
+        F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), t.try_cast("date"))
+        .when(t.rlike("[A-Za-z]{3}"), F.try_to_date(_rewritten(t, _DAY_FIRST, _MONTH_FIRST), "MMM d yyyy"))
+        .when(t.rlike(r"\d"), _rewritten(t, *_NUMERIC).try_cast("date"))
     )
 
 
 def birth_date(text: Column) -> Column:
     """``yyyy-MM-dd``, or a bare year taken as the first of January."""
-    t = F.trim(text)
-    return (
-        F.when(t.rlike(r"^\d{4}$"), F.try_to_date(F.concat(t, F.lit("-01-01")), "yyyy-MM-dd"))
-        .when(t.rlike(r"^\d{4}-"), F.try_to_date(t, "yyyy-MM-dd"))
-        .otherwise(race_date(t))
-    )
+    year_only = F.regexp_replace(F.trim(text), r"^(\d{4})$", "$1-01-01")
+    return race_date(year_only)
 
 
 def completed_years(born: Column, at: Column) -> Column:

@@ -18,12 +18,9 @@ _FEATURE = r"^(.+)_([A-Za-z]+)_Age(\d+)_FastestTime$"
 def event_key(name: Column) -> Column:
     """``400 L Free`` and ``400m Freestyle`` both become ``400mFree``; other names stay as they are."""
     text = F.regexp_replace(F.lower(F.trim(name)), " [ls] ", " ")
-    distance = F.regexp_extract(text, r"(\d+)", 1)
-    stroke = F.regexp_extract(text, _STROKE, 1)
-    return F.when(
-        (distance != "") & (stroke != ""),
-        F.concat(distance, F.lit("m"), lookup(STROKE_TOKENS, stroke)),
-    ).otherwise(F.coalesce(name, F.lit("")))
+    distance = F.regexp_substr(text, F.lit(r"\d+"))
+    stroke = F.regexp_substr(text, F.lit(_STROKE))
+    return F.coalesce(F.concat(distance, F.lit("m"), lookup(STROKE_TOKENS, stroke)), name, F.lit(""))
 
 
 def programme_key(name: Column) -> Column:

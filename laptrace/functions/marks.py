@@ -4,39 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from laptrace.functions.lookups import none_if_blank
 from laptrace.vocab import OPEN_THRESHOLD
 
-_WHOLE = r"^\s*[+-]?\d+\s*$"
-_DECIMAL = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+# fixed values: what counts as a time
+_NUMBER = r"\s*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?\s*"
+_WHOLE = r"\s*[+-]?\d+\s*"
+_CLOCK = f"^(?:(?:{_WHOLE}:)?{_WHOLE}:)?{_NUMBER}$"
+_ENTERED = f"^(?:{_NUMBER}:)?{_NUMBER}$"
 
 
-def seconds(text: Column) -> Column:
-    """``SS.ss``, ``MM:SS.ss`` or ``H:MM:SS.ss`` as seconds; null for anything else."""
-    parts = F.split(F.trim(text), ":")
-    size = F.size(parts)
+def _part(text: Column, from_end: int, kind: str) -> Column:
+    """A colon-separated part counted from the end; zero where the text is shorter.
 
-    def part(i: int, kind: str) -> Column:
-        piece = F.try_element_at(parts, F.lit(i))
-        if kind == "whole":
-            return F.when(piece.rlike(_WHOLE), F.trim(piece).try_cast("bigint"))
-        return F.when(piece.rlike(_DECIMAL), F.trim(piece).try_cast("double"))
+    Empty parts become null before the cast: a cast that fails costs far more than a null.
+    """
+    return F.coalesce(none_if_blank(F.split_part(text, F.lit(":"), F.lit(-from_end))).try_cast(kind), F.lit(0))
 
-    return (
-        F.when(size == 1, part(1, "decimal"))
-        .when(size == 2, part(1, "whole") * 60 + part(2, "decimal"))
-        .when(size == 3, part(1, "whole") * 3600 + part(2, "whole") * 60 + part(3, "decimal"))
-    )
+
+def seconds(text: Column) -> Column:
+    """``SS.ss``, ``MM:SS.ss`` or ``H:MM:SS.ss`` as seconds; null for anything else."""
+    clock = _part(text, 3, "bigint") * 3600 + _part(text, 2, "bigint") * 60 + _part(text, 1, "double")
+    return F.when(text.rlike(_CLOCK), clock)
 
 
 def entered_seconds(text: Column) -> Column:
     """A time typed by a user: at most minutes and seconds, either may carry a fraction."""
-    parts = F.split(F.trim(text), ":")
-
-    def piece(i: int) -> Column:
-        p = F.try_element_at(parts, F.lit(i))
-        return F.when(p.rlike(_DECIMAL), F.trim(p).try_cast("double"))
-
-    return F.when(F.size(parts) == 1, piece(1)).when(F.size(parts) == 2, piece(1) * 60 + piece(2))
+    return F.when(text.rlike(_ENTERED), _part(text, 2, "double") * 60 + _part(text, 1, "double"))
 
 
 def is_valid_mark(value: Column) -> Column:

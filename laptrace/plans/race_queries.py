@@ -37,16 +37,14 @@ def races_with_age(spark, sf_dir):
     return joined.select("name", "event_name", day("race_day").alias("race_day"), day("born").alias("born"), "age")
 
 
-@query("age_at_race__i6", f"""with {O.ATHLETES}
-  select o_orderkey, {O.years("born", "o_orderdate")} as age from orders
-  join athletes on s_suppkey = o_custkey % 10""")
+@query("age_at_race__i6", f"""
+  select o_orderkey, {O.years("born", "o_orderdate")} as age
+  from (select *, date '1975-01-01' + cast((o_custkey * 37) % 3650 as integer) as born from orders)""")
 def completed_years(spark, sf_dir):
-    """Age on the day of every order, for ten athletes."""
-    ten = V.athletes_raw(spark, sf_dir).where("name < 'Supplier#000000010'").select(
-        F.substring("name", -9, 9).cast("long").alias("k"), dates.birth_date(F.col("dob")).alias("born"))
-    orders = V.table(spark, sf_dir, "orders").withColumn("k", F.col("o_custkey") % 10)
-    joined = orders.join(F.broadcast(ten), "k")
-    return joined.select("o_orderkey", dates.completed_years(F.col("born"), F.to_date("o_orderdate")).alias("age"))
+    """Age on the day of every order, for a birth date made from the customer key."""
+    born = F.date_add(F.lit("1975-01-01").cast("date"), ((F.col("o_custkey") * 37) % 3650).cast("int"))
+    return V.table(spark, sf_dir, "orders").select(
+        "o_orderkey", dates.completed_years(born, F.to_date("o_orderdate")).alias("age"))
 
 
 @query("ages_seen__e10", f"with {O.BEST_CTES} select distinct age from best order by age")
@@ -162,7 +160,7 @@ def standardise_names(spark, sf_dir):
 @query("drop_empty_features__b4", f"""with {O.BEST_CTES},
   counted as (
     select g.event || '_' || g.course || '_Age' || g.age || '_FastestTime' as feature, count(b.time_seconds) as n_observed
-    from {grid("10, 31").replace(" a", " a", 1)} left join best b on b.event = e.event and b.course = c.course and b.age = a.age
+    from {grid("10, 31")} left join best b on b.event = e.event and b.course = c.course and b.age = a.age
     group by all)
   select feature, n_observed from counted where n_observed > 0 or regexp_matches(feature, 'Age1[0-8]')""".replace(
       "g.event", "e.event").replace("g.course", "c.course").replace("g.age", "a.age"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from laptrace.operators import athletes as A
-from laptrace.operators import metrics, reshape, scoring
+from laptrace.operators import metrics, reshape, scoring, splits
 from laptrace.plans import oracle as O
 from laptrace.plans import views as V
 from laptrace.plans.registry import query
@@ -87,15 +87,23 @@ def read_wide(spark, sf_dir):
     return tables.read_csv(spark, path, wide_schema(WIDE_FEATURES))
 
 
-@query("io_csv_roundtrip__a4", """select o_orderkey, o_totalprice, o_orderpriority from orders
-  where o_orderkey % 5 <> 0""")
+ORDER_SPLIT = """
+ranked as (
+  select *, row_number() over (partition by o_orderpriority order by md5(o_orderkey || '|42'), o_orderkey) as r,
+    count(*) over (partition by o_orderpriority) as n from orders
+),
+split_orders as (
+  select o_orderkey, o_totalprice, o_orderpriority, case when r <= floor(n * 0.2) then 'test' else 'train' end as split,
+    cast(r % 5 as integer) as fold from ranked
+)"""
+
+
+@query("io_csv_roundtrip__a4", f"with {ORDER_SPLIT} select o_orderkey, o_totalprice, o_orderpriority, fold from split_orders where split = 'train'")
 def write_matrices(spark, sf_dir):
-    """Train and test rows in folders of their own; only the training folder is read."""
+    """Train and test rows in folders of their own; the reader touches the training folder only."""
     path = fresh_path(spark, "matrices")
-    orders = V.table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", "o_orderpriority",
-        F.when(F.col("o_orderkey") % 5 == 0, "test").otherwise("train").alias("split"))
-    tables.write_split(orders, path)
+    orders = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    tables.write_split(splits.stratified(orders, "o_orderkey", "o_orderpriority"), path)
     return tables.read_split(spark, path, "train")
 
 

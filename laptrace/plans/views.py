@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from laptrace.operators import athletes as A
 from laptrace.operators import races as R
 from laptrace.operators.joins import lookup_join
+from laptrace.session import fresh_path
+from laptrace.sources.tables import materialise
 from laptrace.vocab import GROUP_LABELS, PROGRAMME_EVENTS
 
 # fixed values: texts of the derived inputs
@@ -99,6 +101,11 @@ def best_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.fastest(races(spark, sf_dir), births(spark, sf_dir), births_measured(spark, sf_dir))
 
 
+def stored_best_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best marks as a written table, for plans that read them more than once."""
+    return materialise(best_marks(spark, sf_dir), fresh_path(spark, "best"))
+
+
 def person(key: Column) -> Column:
     """First and last name made from a number; the digits become letters."""
     last = F.initcap(F.translate(key.cast("string"), "0123456789", "abcdefghij"))

@@ -24,7 +24,18 @@ def build_session(app_name: str = "laptrace", cores: int | str = "*", shuffle_pa
     )
     for key, value in extra.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings the parsing plans profit from; safe on any session.
+
+    HotSpot does not compile methods above 8000 bytes of bytecode.  Fused stages that parse
+    several text columns can exceed that and then run interpreted; with this limit Spark
+    compiles such a stage expression by expression instead.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
