@@ -67,10 +67,12 @@ def absolute_url(href: Column, base: Column | str) -> Column:
 
 def first_hits(links: Column, patterns: list[str]) -> Column:
     """Links matching the first pattern that matches any link at all."""
-    hits = [F.filter(links, lambda a, p=p: a["href"].contains(p)) for p in patterns]
+    def hits(pattern: str) -> Column:
+        return F.filter(links, lambda a: a["href"].contains(pattern))
+
     out = F.lit(None)
-    for hit in reversed(hits):
-        out = F.when(F.size(hit) > 0, hit).otherwise(out)
+    for pattern in reversed(patterns):
+        out = F.when(F.size(hits(pattern)) > 0, hits(pattern)).otherwise(out)
     return out
 
 
@@ -159,7 +161,11 @@ def sized_sessions(ranked: Column) -> Column:
 def headed_sessions(blocks: Column) -> Column:
     """Sessions named by headings that own a table; the last heading of a session counts."""
     own = F.filter(blocks, lambda b: b["session"].isNotNull() & b["table"].isNotNull())
-    last = [F.try_element_at(F.filter(own, lambda b, s=s: b["session"] == s), F.lit(-1)) for s in SESSIONS]
+
+    def last_of(session: str) -> Column:
+        return F.try_element_at(F.filter(own, lambda b: b["session"] == session), F.lit(-1))
+
+    last = [last_of(session) for session in SESSIONS]
     return F.array_compact(
         F.array(*[F.when(b.isNotNull(), F.struct(b["session"].alias("session"), b["table"].alias("table")))
                   for b in last])
