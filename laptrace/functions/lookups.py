@@ -33,6 +33,14 @@ def none_if_blank(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` mentions it.
+
+    Needed inside and between scans of markup, where a repeated mention would repeat the scan.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def hash_uniform(key: Column, salt: str) -> Column:
     """Repeatable number in [0, 1) from a key: the same on every run, retry and engine."""
     digest = F.md5(F.concat_ws("|", key.cast("string"), F.lit(salt)))

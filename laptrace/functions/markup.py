@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from laptrace.functions.dates import has_month_date
-from laptrace.functions.lookups import alternatives, lookup, none_if_blank
+from laptrace.functions.lookups import alternatives, lookup, none_if_blank, once
 from laptrace.functions.marks import seconds
 from laptrace.functions.names import collapse_spaces
 from laptrace.vocab import (
@@ -70,9 +70,12 @@ def first_hits(links: Column, patterns: list[str]) -> Column:
     def hits(pattern: str) -> Column:
         return F.filter(links, lambda a: a["href"].contains(pattern))
 
-    out = F.lit(None)
+    def has(pattern: str):
+        return lambda a: a["href"].contains(pattern)
+
+    out = F.filter(links, lambda a: F.lit(False))
     for pattern in reversed(patterns):
-        out = F.when(F.size(hits(pattern)) > 0, hits(pattern)).otherwise(out)
+        out = F.when(F.exists(links, has(pattern)), hits(pattern)).otherwise(out)
     return out
 
 
@@ -80,12 +83,13 @@ def is_blocked(html: Column, phrases: list[str] | None = None) -> Column:
     return html.rlike(alternatives(phrases or BLOCK_PHRASES))
 
 
-def qualifies(text: Column, links: Column, phrase: str = GAMES_PHRASE, dates: list[str] | None = None,
+def qualifies(html: Column, phrase: str = GAMES_PHRASE, dates: list[str] | None = None,
               path: str = GAMES_RESULT_PATH) -> Column:
     """The page's text names the games, and dates them or links to their results."""
-    lowered = F.lower(text)
-    dated = lowered.rlike(alternatives(dates or GAMES_DATE_PHRASES))
-    return lowered.contains(phrase) & (dated | F.exists(links, lambda a: a["href"].contains(path)))
+    linked = F.exists(anchors(html), lambda a: a["href"].contains(path))
+    return once(
+        F.lower(plain_text(html)),
+        lambda text: text.contains(phrase) & (text.rlike(alternatives(dates or GAMES_DATE_PHRASES)) | linked))
 
 
 def course_token(text: Column) -> Column:
@@ -93,9 +97,6 @@ def course_token(text: Column) -> Column:
 
 
 # --- sessions and tables --------------------------------------------------------
-# The functions below take columns already cut out of the page, so that a caller
-# can stage the costly scans in one projection and reuse them in the next.
-
 def session_of(heading: Column) -> Column:
     """Session a heading announces: at most three words, the session's own name last."""
     text = F.lower(heading)
@@ -160,16 +161,24 @@ def sized_sessions(ranked: Column) -> Column:
 
 def headed_sessions(blocks: Column) -> Column:
     """Sessions named by headings that own a table; the last heading of a session counts."""
+
+    def last_of_each(own: Column) -> Column:
+        def of(session: str) -> Column:
+            return F.try_element_at(F.filter(own, lambda b: b["session"] == session), F.lit(-1))
+
+        return F.array_compact(F.array(*[of(session) for session in SESSIONS]))
+
     own = F.filter(blocks, lambda b: b["session"].isNotNull() & b["table"].isNotNull())
+    return F.transform(once(own, last_of_each), lambda b: F.struct(b["session"].alias("session"), b["table"].alias("table")))
 
-    def last_of(session: str) -> Column:
-        return F.try_element_at(F.filter(own, lambda b: b["session"] == session), F.lit(-1))
 
-    last = [last_of(session) for session in SESSIONS]
-    return F.array_compact(
-        F.array(*[F.when(b.isNotNull(), F.struct(b["session"].alias("session"), b["table"].alias("table")))
-                  for b in last])
-    )
+def sessions(html: Column) -> Column:
+    """Array of (session, table): from headings, else from table sizes; empty if neither tells."""
+    empty = F.array().cast("array<struct<session:string,table:string>>")
+    guessed = once(by_size(tables(html)), sized_sessions)
+    return once(
+        headed_sessions(headed_blocks(html)),
+        lambda named: F.when(F.size(named) > 0, named).otherwise(F.coalesce(guessed, empty)))
 
 
 def sessions_to_read(available: Column) -> Column:
@@ -209,12 +218,26 @@ def person_link_text(row_cells: Column) -> Column:
     return inner_text(F.regexp_extract(F.try_element_at(body, F.lit(1)), person, 1))
 
 
-def row_fields(row_cells: Column) -> dict[str, Column]:
+def lines(html: Column) -> Column:
+    """Rows of all tables of a page, as structs of table, row, raw cells and their texts."""
+    def of_table(table: Column, t: Column) -> Column:
+        return F.transform(rows(table), lambda r, i: F.struct(
+            t.alias("table_pos"), i.alias("row_pos"), cells(r).alias("cells")))
+
+    return with_texts(F.flatten(F.transform(tables(html), of_table)))
+
+
+def with_texts(lines_: Column) -> Column:
+    return F.transform(lines_, lambda x: F.struct(
+        x["table_pos"].alias("table_pos"), x["row_pos"].alias("row_pos"), x["cells"].alias("cells"),
+        F.transform(x["cells"], inner_text).alias("texts")))
+
+
+def row_fields(texts: Column) -> dict[str, Column]:
     """Event, time, course and date of a result row, the last matching cell of each kind winning."""
-    texts = F.transform(row_cells, inner_text)
     return {
         "event_name": last_cell(texts, is_event_cell),
-        "time_seconds": seconds(last_cell(texts, is_time_cell)),
+        "time_seconds": once(last_cell(texts, is_time_cell), seconds),
         "course": F.upper(last_cell(texts, is_course_cell)),
         "race_date": last_cell(texts, is_date_cell),
     }

@@ -1,7 +1,8 @@
 """Extraction from stored pages.  One page is one row; nothing here shuffles except distinct names.
 
-Costly scans of the markup are put in a projection of their own and read by later
-ones, so that a page is scanned once per kind of element.
+A page is taken apart inside its row, into arrays; the arrays are exploded once, at the
+end.  ``explode_outer`` with a null test is used on purpose: for a plain explode the
+optimizer adds a filter on the array below it, which would scan every page a second time.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from laptrace.functions import markup as M
 from laptrace.functions.dates import first_date_text
+from laptrace.functions.lookups import once
 from laptrace.functions.names import person_name
 
 
@@ -19,24 +21,26 @@ def links(pages: DataFrame, base: str, patterns: list[str] | None = None, skip_w
     With patterns, only links matching the first pattern that occurs on the page.
     Links whose text has ``skip_word`` and hrefs that are neither rooted nor http are left out.
     """
-    found = pages.withColumn("__all", M.anchors(F.col("html")))
-    chosen = found.withColumn("__all", M.first_hits(F.col("__all"), patterns)) if patterns else found
-    kept = F.filter("__all", lambda a: ~F.lower(a["text"]).contains(skip_word))
-    urls = F.array_compact(F.transform(kept, lambda a: M.absolute_url(a["href"], base)))
-    return chosen.withColumn("links", F.coalesce(F.array_distinct(urls), F.array().cast("array<string>"))).drop("__all")
+    def of(found) -> Column:
+        chosen = M.first_hits(found, patterns) if patterns else found
+        kept = F.filter(chosen, lambda a: ~F.lower(a["text"]).contains(skip_word))
+        return F.array_distinct(F.array_compact(F.transform(kept, lambda a: M.absolute_url(a["href"], base))))
+
+    return pages.withColumn("links", once(M.anchors(F.col("html")), of))
 
 
 def explode_links(linked: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
     """One row per link; ``at_most`` keeps the first n of each page inside the row, without a window."""
     array = F.col("links") if at_most is None else F.slice("links", 1, at_most)
-    return linked.select(key, F.posexplode(array).alias("pos", "link"))
+    return linked.select(key, F.posexplode_outer(array).alias("pos", "link")).where("pos is not null")
 
 
 def headers(pages: DataFrame) -> DataFrame:
     """Adds title, visible text and the page's first course token and date."""
-    texts = pages.withColumns({"title": M.page_title(F.col("html")), "page_text": M.plain_text(F.col("html"))})
-    return texts.withColumns({
-        "page_course": M.course_token(F.col("page_text")), "page_date": first_date_text(F.col("page_text"))})
+    facts = once(M.plain_text(F.col("html")), lambda t: F.struct(
+        t.alias("page_text"), M.course_token(t).alias("page_course"), first_date_text(t).alias("page_date")))
+    return pages.withColumns({"title": M.page_title(F.col("html")), "__facts": facts}).select(
+        "*", "__facts.*").drop("__facts")
 
 
 def readable(pages: DataFrame, phrases: list[str] | None = None) -> DataFrame:
@@ -45,19 +49,12 @@ def readable(pages: DataFrame, phrases: list[str] | None = None) -> DataFrame:
 
 
 def with_qualification(pages: DataFrame, **rule) -> DataFrame:
-    staged = pages.withColumns({"__text": M.plain_text(F.col("html")), "__links": M.anchors(F.col("html"))})
-    return staged.withColumn("qualifies", M.qualifies(F.col("__text"), F.col("__links"), **rule)).drop("__text", "__links")
+    return pages.withColumn("qualifies", M.qualifies(F.col("html"), **rule))
 
 
 def with_sessions(pages: DataFrame) -> DataFrame:
     """Adds ``sessions``, an array of (session, table), from headings or else from table sizes."""
-    staged = pages.withColumns({"__blocks": M.headed_blocks(F.col("html")), "__tables": M.tables(F.col("html"))})
-    staged = staged.withColumns({"__named": M.headed_sessions(F.col("__blocks")), "__sized": M.by_size(F.col("__tables"))})
-    empty = F.array().cast("array<struct<session:string,table:string>>")
-    return staged.withColumn(
-        "sessions",
-        F.when(F.size("__named") > 0, F.col("__named")).otherwise(F.coalesce(M.sized_sessions(F.col("__sized")), empty)),
-    ).drop("__blocks", "__tables", "__named", "__sized")
+    return pages.withColumn("sessions", M.sessions(F.col("html")))
 
 
 def sessions_to_read(with_tables: DataFrame) -> DataFrame:
@@ -68,33 +65,39 @@ def sessions_to_read(with_tables: DataFrame) -> DataFrame:
 
 def table_ranks(pages: DataFrame, key: str) -> DataFrame:
     """Tables of a page with their size, and rank from small to large and from large to small."""
-    ranked = pages.select(key, M.tables(F.col("html")).alias("__t")).select(key, M.by_size(F.col("__t")).alias("__s"))
-    out = ranked.select(key, F.size("__s").alias("n_tables"), F.posexplode("__s").alias("i", "t"))
-    return out.select(
-        key, F.col("t.pos").alias("pos"), F.col("t.n_rows").alias("n_rows"),
-        (F.col("i") + 1).alias("rank_small"), (F.col("n_tables") - F.col("i")).alias("rank_large"))
+    ranked = once(
+        M.by_size(M.tables(F.col("html"))),
+        lambda s: F.transform(s, lambda t, i: F.struct(
+            t["pos"].alias("pos"), t["n_rows"].alias("n_rows"),
+            (i + 1).alias("rank_small"), (F.size(s) - i).alias("rank_large"))))
+    return pages.select(key, F.explode_outer(ranked).alias("t")).where("t is not null").select(key, "t.*")
 
 
 def session_rows(pages: DataFrame, key: str) -> DataFrame:
     """One row per table row of the sessions to read, cut into cells."""
-    read = sessions_to_read(with_sessions(pages))
-    picked = F.filter("sessions", lambda s: F.array_contains(F.col("to_read"), s["session"]))
-    tables = read.select(key, F.explode(picked).alias("s"))
-    lines = tables.select(key, F.col("s.session").alias("session"), F.posexplode(M.rows(F.col("s.table"))).alias("row_pos", "row"))
-    return lines.select(key, "session", "row_pos", M.cells(F.col("row")).alias("cells"))
+    def picked(found: Column) -> Column:
+        return once(
+            M.sessions_to_read(F.transform(found, lambda s: s["session"])),
+            lambda names: F.filter(found, lambda s: F.array_contains(names, s["session"])))
+
+    def cut(s: Column) -> Column:
+        return F.transform(M.rows(s["table"]), lambda r, i: F.struct(
+            s["session"].alias("session"), i.alias("row_pos"), M.cells(r).alias("cells")))
+
+    lines = F.flatten(F.transform(once(M.sessions(F.col("html")), picked), cut))
+    return pages.select(key, F.explode_outer(lines).alias("l")).where("l is not null").select(key, "l.*")
 
 
 def person_names(pages: DataFrame, key: str) -> DataFrame:
     """One valid person name per row of the sessions to read."""
-    named = session_rows(pages, key).withColumn("raw_name", M.person_link_text(F.col("cells")))
-    return named.where("raw_name is not null").withColumn("name", person_name(F.col("raw_name"))).where("name is not null")
+    named = session_rows(pages, key).withColumn("name", once(M.person_link_text(F.col("cells")), person_name))
+    return named.where("name is not null")
 
 
 def all_rows(pages: DataFrame, carry: list[str]) -> DataFrame:
-    """One row per table row of a page, the carried page columns beside its cells."""
-    staged = pages.select(*carry, F.posexplode(M.tables(F.col("html"))).alias("table_pos", "table"))
-    lines = staged.select(*carry, "table_pos", F.posexplode(M.rows(F.col("table"))).alias("row_pos", "row"))
-    return lines.select(*carry, "table_pos", "row_pos", M.cells(F.col("row")).alias("cells"))
+    """One row per table row of a page, with raw cells and texts, the carried page columns beside it."""
+    lines = F.explode_outer(M.lines(F.col("html"))).alias("l")
+    return pages.select(*carry, lines).where("l is not null").select(*carry, "l.*")
 
 
 def wide_enough(lines: DataFrame, at_least: int = 3) -> DataFrame:
@@ -110,15 +113,24 @@ def essential(records: DataFrame) -> DataFrame:
     return records.where("event_name is not null and event_name <> '' and time_seconds is not null and time_seconds <> 0")
 
 
+def fields(pages: DataFrame, carry: list[str], at_least: int = 3) -> DataFrame:
+    """One row per table row with enough cells: its event, time, course, date and person."""
+    def record(x: Column) -> Column:
+        return F.struct(
+            x["table_pos"].alias("table_pos"), x["row_pos"].alias("row_pos"),
+            once(M.person_link_text(x["cells"]), person_name).alias("athlete"),
+            *[c.alias(n) for n, c in M.row_fields(x["texts"]).items()])
+
+    wide = F.filter(M.lines(F.col("html")), lambda x: F.size(x["cells"]) >= at_least)
+    records = F.explode_outer(F.transform(wide, record)).alias("r")
+    return pages.select(*carry, records).where("r is not null").select(*carry, "r.*")
+
+
 def race_records(pages: DataFrame, page_key: str = "page_id", url: str = "url") -> DataFrame:
     """Race records of all result tables of all readable pages."""
     page = headers(readable(pages)).withColumn("meet_name", F.coalesce(F.col("title"), F.lit("Unknown Meet")))
-    lines = wide_enough(all_rows(page, [page_key, url, "meet_name", "page_course", "page_date"]))
-    fields = lines.withColumns({
-        **M.row_fields(F.col("cells")),
-        "athlete": person_name(M.person_link_text(F.col("cells"))),
-    })
-    filled = essential(fields).withColumns(fill_from_page(F.col("course"), F.col("race_date")))
+    found = essential(fields(page, [page_key, url, "meet_name", "page_course", "page_date"]))
+    filled = found.withColumns(fill_from_page(F.col("course"), F.col("race_date")))
     return filled.select(page_key, url, "meet_name", "table_pos", "row_pos", "athlete", "event_name", "time_seconds",
                          "course", "race_date")
 

@@ -18,7 +18,7 @@ EVENT_LINKS = ["/results/2424/event/", "/event/", "/results/"]
 
 @query("page_filter__c4", f"with {O.PAGE_CTES} select page_id, url from race_pages where not regexp_matches(html, '403 Forbidden|Access Denied')")
 def readable_pages(spark, sf_dir):
-    return P.readable(V.race_pages(spark, sf_dir)).select("page_id", "url")
+    return P.readable(V.stored_pages(spark, sf_dir)).select("page_id", "url")
 
 
 QUALIFIES = f"""
@@ -32,14 +32,14 @@ qualified as (
 @query("page_filter__c5", f"with {O.PAGE_CTES}, {QUALIFIES} select page_id, qualifies from qualified")
 def qualifying_pages(spark, sf_dir):
     """Pages that name the games and date them or link to their results."""
-    return P.with_qualification(V.race_pages(spark, sf_dir)).select("page_id", "qualifies")
+    return P.with_qualification(V.stored_pages(spark, sf_dir)).select("page_id", "qualifies")
 
 
 @query("first_match__f2", f"""with {O.PAGE_CTES}, {QUALIFIES}
   select athlete_id, arg_min(url, page_id) as url from qualified where qualifies group by athlete_id""")
 def first_match(spark, sf_dir):
     """First qualifying page of every athlete."""
-    return P.first_match(P.with_qualification(V.race_pages(spark, sf_dir)), "athlete_id", "page_id")
+    return P.first_match(P.with_qualification(V.stored_pages(spark, sf_dir)), "athlete_id", "page_id")
 
 
 # --- links ----------------------------------------------------------------------------
@@ -103,7 +103,7 @@ def absolute_urls(spark, sf_dir):
   from orders where o_orderkey % 50 <> 7 and o_orderkey % 8 <> 0""")
 def event_links(spark, sf_dir):
     """Event links by the first pattern that hits; relays and other schemes are left out."""
-    return P.explode_links(P.links(V.race_pages(spark, sf_dir), V.BASE_URL, EVENT_LINKS), "page_id")
+    return P.explode_links(P.links(V.stored_pages(spark, sf_dir), V.BASE_URL, EVENT_LINKS), "page_id")
 
 
 # --- headers and text ---------------------------------------------------------------------
@@ -121,7 +121,7 @@ def page_text(spark, sf_dir):
     nullif({O.inner_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '')) as title from both_kinds""")
 def page_titles(spark, sf_dir):
     """First heading, else the document title."""
-    race = V.race_pages(spark, sf_dir).select("page_id", F.lit("race").alias("kind"), "html")
+    race = V.stored_pages(spark, sf_dir).select("page_id", F.lit("race").alias("kind"), "html")
     stored = V.table(spark, sf_dir, "pages").select("page_id", F.lit("page").alias("kind"), "html")
     return race.unionByName(stored).select("page_id", "kind", M.page_title(F.col("html")).alias("title"))
 
@@ -133,7 +133,7 @@ def page_titles(spark, sf_dir):
   from orders""")
 def page_headers(spark, sf_dir):
     """Course and date that a page states for all of its results."""
-    return P.headers(V.race_pages(spark, sf_dir)).select("page_id", "page_course", "page_date")
+    return P.headers(V.stored_pages(spark, sf_dir)).select("page_id", "page_course", "page_date")
 
 
 # --- sessions and tables ------------------------------------------------------------------
@@ -144,8 +144,10 @@ def page_headers(spark, sf_dir):
     cast(n + 1 as integer) as n_rows from page_tables""")
 def session_sections(spark, sf_dir):
     """Sessions of every page with the size of their table, by heading or by size."""
-    found = P.with_sessions(V.race_pages(spark, sf_dir)).select("page_id", F.explode("sessions").alias("s"))
-    return found.select("page_id", F.col("s.session").alias("session"), F.size(M.rows(F.col("s.table"))).alias("n_rows"))
+    sized = F.transform(M.sessions(F.col("html")), lambda s: F.struct(
+        s["session"].alias("session"), F.size(M.rows(s["table"])).alias("n_rows")))
+    found = V.stored_pages(spark, sf_dir).select("page_id", F.explode_outer(sized).alias("s"))
+    return found.where("s is not null").select("page_id", "s.*")
 
 
 @query("session_choice__j5", """
@@ -153,7 +155,7 @@ def session_sections(spark, sf_dir):
     when o_orderkey % 5 in (1, 4) then 'finals,preliminaries' else 'finals' end as to_read from orders""")
 def session_choice(spark, sf_dir):
     """Sessions to read: semifinals and finals where all three exist, else all there are."""
-    read = P.sessions_to_read(P.with_sessions(V.race_pages(spark, sf_dir)))
+    read = P.sessions_to_read(P.with_sessions(V.stored_pages(spark, sf_dir)))
     return read.select("page_id", F.array_join(F.sort_array("to_read"), ",").alias("to_read"))
 
 
@@ -163,14 +165,14 @@ def session_choice(spark, sf_dir):
     cast(row_number() over (partition by k order by n desc, table_pos desc) as integer) as rank_large from page_tables""")
 def table_ranks(spark, sf_dir):
     """Tables of every page ranked by their number of rows."""
-    return P.table_ranks(V.race_pages(spark, sf_dir), "page_id")
+    return P.table_ranks(V.stored_pages(spark, sf_dir), "page_id")
 
 
 # --- rows -----------------------------------------------------------------------------------
 
 
 def lines_of(spark, sf_dir):
-    return P.all_rows(V.race_pages(spark, sf_dir), ["page_id"])
+    return P.all_rows(V.stored_pages(spark, sf_dir), ["page_id"])
 
 
 HEAD = """select k as page_id, cast(table_pos as integer) as table_pos, 0 as row_pos, 4 as n_cells, 'Rank|Name|Event|Time' as texts
@@ -186,7 +188,7 @@ def table_rows(spark, sf_dir):
     """Every table row with its cells."""
     return lines_of(spark, sf_dir).select(
         "page_id", "table_pos", "row_pos", F.size("cells").alias("n_cells"),
-        F.array_join(F.transform("cells", M.inner_text), "|").alias("texts"))
+        F.array_join("texts", "|").alias("texts"))
 
 
 @query("race_rows__c10", f"""with {O.PAGE_ROWS}
@@ -202,7 +204,7 @@ SECONDS = "case when contains(time_text, ':') then 60 + cast(split_part(time_tex
 
 
 def fields_of(spark, sf_dir):
-    return lines_of(spark, sf_dir).withColumns(M.row_fields(F.col("cells")))
+    return P.fields(V.stored_pages(spark, sf_dir), ["page_id"])
 
 
 @query("race_rows__c9", f"""with {O.PAGE_ROWS}
@@ -217,8 +219,7 @@ def essential_rows(spark, sf_dir):
     case when i % 2 = 0 then row_course else case when i <> 4 then time_text else event_name end end as last_known from page_marks""")
 def last_matching_cell(spark, sf_dir):
     """Text of the last cell that is an event, a time or a course."""
-    texts = F.transform("cells", M.inner_text)
-    known = M.last_cell(texts, lambda c: M.is_event_cell(c) | M.is_time_cell(c) | M.is_course_cell(c))
+    known = M.last_cell(F.col("texts"), lambda c: M.is_event_cell(c) | M.is_time_cell(c) | M.is_course_cell(c))
     return lines_of(spark, sf_dir).select("page_id", "table_pos", "row_pos", known.alias("last_known")).where("last_known is not null")
 
 
@@ -228,7 +229,7 @@ def last_matching_cell(spark, sf_dir):
     cast(sum(c) as bigint) as n_course, cast(sum(c) as bigint) as n_date from counted group by k""")
 def cell_kinds(spark, sf_dir):
     """Cells of each kind per page."""
-    cells = lines_of(spark, sf_dir).select("page_id", F.explode(F.transform("cells", M.inner_text)).alias("cell"))
+    cells = lines_of(spark, sf_dir).select("page_id", F.explode("texts").alias("cell"))
     kinds = {"n_event": M.is_event_cell, "n_time": M.is_time_cell, "n_course": M.is_course_cell, "n_date": M.is_date_cell}
     return cells.groupBy("page_id").agg(
         *[F.sum(test(F.col("cell")).cast("int")).alias(name) for name, test in kinds.items()])
@@ -240,7 +241,7 @@ def cell_kinds(spark, sf_dir):
     case when i % 2 = 0 then row_date else page_date end as race_date from page_marks where i <> 4""")
 def filled_rows(spark, sf_dir):
     """Course and date of a row, taken from the page where the row has none."""
-    found = P.race_records(V.race_pages(spark, sf_dir))
+    found = P.race_records(V.stored_pages(spark, sf_dir))
     return found.select("page_id", "table_pos", "row_pos", "course", "race_date")
 
 
@@ -252,7 +253,7 @@ def filled_rows(spark, sf_dir):
     case when i % 2 = 0 then row_date else page_date end as race_date from page_marks where i <> 4""")
 def race_records(spark, sf_dir):
     """Race records of all stored pages."""
-    return P.race_records(V.race_pages(spark, sf_dir))
+    return P.race_records(V.stored_pages(spark, sf_dir))
 
 
 @query("clean_names__j7", f"""with {O.PAGE_ROWS}
@@ -261,4 +262,4 @@ def race_records(spark, sf_dir):
   where case when k % 5 in (0, 3) then t in (2, 3) else true end""")
 def page_names(spark, sf_dir):
     """One cleaned name per row of the sessions to read."""
-    return P.person_names(V.race_pages(spark, sf_dir), "page_id").select("page_id", "session", "row_pos", "name")
+    return P.person_names(V.stored_pages(spark, sf_dir), "page_id").select("page_id", "session", "row_pos", "name")
