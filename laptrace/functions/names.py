@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from laptrace.functions.lookups import alternatives
+from laptrace.functions.lookups import alternatives, once
 from laptrace.vocab import COUNTRY_SUFFIXES, NON_PERSON_MARKS
 
 
@@ -37,6 +37,8 @@ def person_name(raw: Column) -> Column:
 
     The country goes first, so that two-word countries are recognised.
     """
-    tidy = collapse_spaces(raw)
-    bare = without_country(tidy)
-    return F.when(is_person_name(tidy) & is_person_name(bare), first_two_words(bare))
+    def judged(tidy: Column) -> Column:
+        return once(without_country(tidy), lambda bare: F.when(
+            is_person_name(tidy) & is_person_name(bare), first_two_words(bare)))
+
+    return once(collapse_spaces(raw), judged)

@@ -1,0 +1 @@
+"""Incremental collection of record files."""
