@@ -60,7 +60,3 @@ def completed_years(born: Column, at: Column) -> Column:
 def first_date_text(text: Column) -> Column:
     """First month-name date or date range found in running text, as written."""
     return none_if_blank(F.regexp_extract(text, f"({_TEXT_DATE})", 1))
-
-
-def has_month_date(text: Column) -> Column:
-    return text.rlike(rf"\b{_MONTH}\s+\d{{1,2}},?\s+\d{{4}}\b")

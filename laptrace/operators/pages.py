@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from laptrace.functions import markup as M
 from laptrace.functions.dates import first_date_text
 from laptrace.functions.lookups import once
+from laptrace.functions.marks import seconds
 from laptrace.functions.names import person_name
 
 
@@ -74,7 +75,7 @@ def table_ranks(pages: DataFrame, key: str) -> DataFrame:
 
 
 def session_rows(pages: DataFrame, key: str) -> DataFrame:
-    """One row per table row of the sessions to read, cut into cells."""
+    """One row per table row of the sessions to read."""
     def picked(found: Column) -> Column:
         return once(
             M.sessions_to_read(F.transform(found, lambda s: s["session"])),
@@ -82,7 +83,7 @@ def session_rows(pages: DataFrame, key: str) -> DataFrame:
 
     def cut(s: Column) -> Column:
         return F.transform(M.rows(s["table"]), lambda r, i: F.struct(
-            s["session"].alias("session"), i.alias("row_pos"), M.cells(r).alias("cells")))
+            s["session"].alias("session"), i.alias("row_pos"), r.alias("row")))
 
     lines = F.flatten(F.transform(once(M.sessions(F.col("html")), picked), cut))
     return pages.select(key, F.explode_outer(lines).alias("l")).where("l is not null").select(key, "l.*")
@@ -90,18 +91,25 @@ def session_rows(pages: DataFrame, key: str) -> DataFrame:
 
 def person_names(pages: DataFrame, key: str) -> DataFrame:
     """One valid person name per row of the sessions to read."""
-    named = session_rows(pages, key).withColumn("name", once(M.person_link_text(F.col("cells")), person_name))
-    return named.where("name is not null")
+    found = session_rows(pages, key)
+    raw = keep_once(found, "raw_name", M.person_link_text(F.col("row")))
+    return keep_once(raw.where("raw_name is not null"), "name", person_name(F.col("raw_name"))).where("name is not null")
+
+
+def keep_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a costly column in a way that filters above it cannot make the optimizer compute it again."""
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
 def all_rows(pages: DataFrame, carry: list[str]) -> DataFrame:
-    """One row per table row of a page, with raw cells and texts, the carried page columns beside it."""
-    lines = F.explode_outer(M.lines(F.col("html"))).alias("l")
-    return pages.select(*carry, lines).where("l is not null").select(*carry, "l.*")
+    """One row per table row of a page: its markup, its text, and the carried page columns."""
+    found = F.explode_outer(M.lines(F.col("html"))).alias("l")
+    lines = pages.select(*carry, found).where("l is not null").select(*carry, "l.*")
+    return keep_once(lines, "row_text", M.row_text(F.col("row")))
 
 
 def wide_enough(lines: DataFrame, at_least: int = 3) -> DataFrame:
-    return lines.where(F.size("cells") >= at_least)
+    return lines.where(F.size(M.cell_texts(F.col("row_text"))) >= at_least)
 
 
 def fill_from_page(course: Column, date: Column) -> dict[str, Column]:
@@ -114,23 +122,21 @@ def essential(records: DataFrame) -> DataFrame:
 
 
 def fields(pages: DataFrame, carry: list[str], at_least: int = 3) -> DataFrame:
-    """One row per table row with enough cells: its event, time, course, date and person."""
-    def record(x: Column) -> Column:
-        return F.struct(
-            x["table_pos"].alias("table_pos"), x["row_pos"].alias("row_pos"),
-            once(M.person_link_text(x["cells"]), person_name).alias("athlete"),
-            *[c.alias(n) for n, c in M.row_fields(x["texts"]).items()])
-
-    wide = F.filter(M.lines(F.col("html")), lambda x: F.size(x["cells"]) >= at_least)
-    records = F.explode_outer(F.transform(wide, record)).alias("r")
-    return pages.select(*carry, records).where("r is not null").select(*carry, "r.*")
+    """One row per table row with enough cells: its event, time, course and date, and its markup."""
+    kept = keep_once(
+        wide_enough(all_rows(pages, carry), at_least), "f",
+        F.struct(*[c.alias(n) for n, c in M.row_fields(F.col("row_text")).items()]))
+    return kept.select("*", "f.*").drop("f").withColumn("time_seconds", seconds(F.col("time_text")))
 
 
 def race_records(pages: DataFrame, page_key: str = "page_id", url: str = "url") -> DataFrame:
     """Race records of all result tables of all readable pages."""
     page = headers(readable(pages)).withColumn("meet_name", F.coalesce(F.col("title"), F.lit("Unknown Meet")))
     found = essential(fields(page, [page_key, url, "meet_name", "page_course", "page_date"]))
-    filled = found.withColumns(fill_from_page(F.col("course"), F.col("race_date")))
+    filled = found.withColumns({
+        **fill_from_page(F.col("course"), F.col("race_date")),
+        "athlete": person_name(M.person_link_text(F.col("row"))),
+    })
     return filled.select(page_key, url, "meet_name", "table_pos", "row_pos", "athlete", "event_name", "time_seconds",
                          "course", "race_date")
 

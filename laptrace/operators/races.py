@@ -56,7 +56,9 @@ def fastest(races: DataFrame, births: DataFrame, measured: DataFrame | None = No
     else:
         aged = slim.join(F.broadcast(births), "name", "left").withColumn(
             "age", completed_years(F.col("born"), F.col("race_day")))
-    return aged.dropna(subset=KEYS).groupBy(*KEYS).agg(F.min("time_seconds").alias("time_seconds"))
+    # The event key is never null, and a test on it would only parse the name twice.
+    known = aged.where("name is not null and course is not null and age is not null")
+    return known.groupBy(*KEYS).agg(F.min("time_seconds").alias("time_seconds"))
 
 
 def adult_best(best: DataFrame, ages: tuple[int, int] = ADULT_AGES) -> DataFrame:

@@ -187,8 +187,8 @@ HEAD = """select k as page_id, cast(table_pos as integer) as table_pos, 0 as row
 def table_rows(spark, sf_dir):
     """Every table row with its cells."""
     return lines_of(spark, sf_dir).select(
-        "page_id", "table_pos", "row_pos", F.size("cells").alias("n_cells"),
-        F.array_join("texts", "|").alias("texts"))
+        "page_id", "table_pos", "row_pos", F.size(M.cell_texts(F.col("row_text"))).alias("n_cells"),
+        F.replace("row_text", F.lit(M.CELL_END), F.lit("|")).alias("texts"))
 
 
 @query("race_rows__c10", f"""with {O.PAGE_ROWS}
@@ -197,7 +197,7 @@ def table_rows(spark, sf_dir):
 def full_rows(spark, sf_dir):
     """Rows with at least five cells, so that the bound drops some."""
     return P.wide_enough(lines_of(spark, sf_dir), 5).select(
-        "page_id", "table_pos", "row_pos", F.size("cells").alias("n_cells"))
+        "page_id", "table_pos", "row_pos", F.size(M.cell_texts(F.col("row_text"))).alias("n_cells"))
 
 
 SECONDS = "case when contains(time_text, ':') then 60 + cast(split_part(time_text, ':', 2) as double) else cast(time_text as double) end"
@@ -219,7 +219,7 @@ def essential_rows(spark, sf_dir):
     case when i % 2 = 0 then row_course else case when i <> 4 then time_text else event_name end end as last_known from page_marks""")
 def last_matching_cell(spark, sf_dir):
     """Text of the last cell that is an event, a time or a course."""
-    known = M.last_cell(F.col("texts"), lambda c: M.is_event_cell(c) | M.is_time_cell(c) | M.is_course_cell(c))
+    known = M.last_cell(F.col("row_text"), f"{M.EVENT_CELL}|{M.TIME_CELL}|{M.COURSE_CELL}")
     return lines_of(spark, sf_dir).select("page_id", "table_pos", "row_pos", known.alias("last_known")).where("last_known is not null")
 
 
@@ -229,10 +229,10 @@ def last_matching_cell(spark, sf_dir):
     cast(sum(c) as bigint) as n_course, cast(sum(c) as bigint) as n_date from counted group by k""")
 def cell_kinds(spark, sf_dir):
     """Cells of each kind per page."""
-    cells = lines_of(spark, sf_dir).select("page_id", F.explode("texts").alias("cell"))
-    kinds = {"n_event": M.is_event_cell, "n_time": M.is_time_cell, "n_course": M.is_course_cell, "n_date": M.is_date_cell}
+    cells = lines_of(spark, sf_dir).select("page_id", F.explode(M.cell_texts(F.col("row_text"))).alias("cell"))
+    kinds = {"n_event": M.EVENT_CELL, "n_time": M.TIME_CELL, "n_course": M.COURSE_CELL, "n_date": M.DATE_CELL}
     return cells.groupBy("page_id").agg(
-        *[F.sum(test(F.col("cell")).cast("int")).alias(name) for name, test in kinds.items()])
+        *[F.sum(M.is_cell(F.col("cell"), kind).cast("int")).alias(name) for name, kind in kinds.items()])
 
 
 @query("race_rows__d7", f"""with {O.PAGE_ROWS}
