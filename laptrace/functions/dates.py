@@ -52,9 +52,11 @@ def birth_date(text: Column) -> Column:
 
 
 def completed_years(born: Column, at: Column) -> Column:
-    """Whole years lived on a day, never below zero."""
+    """Whole years lived on a day, never below zero; null when either date is unknown."""
     before_birthday = (F.month(at) * 100 + F.dayofmonth(at)) < (F.month(born) * 100 + F.dayofmonth(born))
-    return F.greatest(F.lit(0), F.year(at) - F.year(born) - before_birthday.cast("int"))
+    years = F.year(at) - F.year(born) - before_birthday.cast("int")
+    # greatest() alone would turn an unknown age into zero
+    return F.when(born.isNotNull() & at.isNotNull(), F.greatest(F.lit(0), years))
 
 
 def first_date_text(text: Column) -> Column:

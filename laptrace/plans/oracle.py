@@ -97,8 +97,8 @@ INDIVIDUAL = f"not regexp_matches(lower(event_name), '{'|'.join(NON_INDIVIDUAL_W
 
 
 def years(born: str, day: str) -> str:
-    return (f"greatest(0, cast(year({day}) - year({born}) - cast(month({day}) * 100 + day({day}) < "
-            f"month({born}) * 100 + day({born}) as integer) as integer))")
+    return (f"(case when {born} is not null and {day} is not null then greatest(0, cast(year({day}) - year({born}) - "
+            f"cast(month({day}) * 100 + day({day}) < month({born}) * 100 + day({born}) as integer) as integer)) end)")
 
 
 BEST = f"""
