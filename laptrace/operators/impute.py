@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from laptrace.functions.events import baseline_seconds, feature_name
 from laptrace.functions.lookups import by_age, hash_uniform
+from laptrace.operators.joins import BROADCAST_ROWS, lookup_join
 from laptrace.operators.quantiles import exact_median
 from laptrace.vocab import (
     ADULT_AGES, BASELINE_FACTOR_DEFAULT, BASELINE_FACTORS, PROGRESSION_DEFAULT, PROGRESSION_FACTORS,
@@ -38,8 +39,9 @@ def progression(best: DataFrame, eligible: DataFrame | None = None, *, seed: int
         F.explode(F.array_except(F.sequence(F.lit(YOUTH_AGES[0]), F.lit(YOUTH_AGES[1])), F.col("have"))).alias("age"),
     )
     if eligible is not None:
-        filled = filled.join(eligible.select("event", "course", "age").distinct(),
-                             ["event", "course", "age"], "left_semi")
+        # One feature can hold a large share of the rows, so this join is size-checked or salted.
+        wanted = eligible.select("event", "course", "age").distinct()
+        filled = lookup_join(filled, wanted, ["event", "course", "age"], "left_semi")
     factor = by_age(PROGRESSION_FACTORS, age, YOUTH_AGES[0], PROGRESSION_DEFAULT)
     key = F.concat_ws("|", "name", feature_name(F.col("event"), F.col("course"), age))
     return filled.withColumn("time_seconds", jitter(F.col("best_adult") * factor, key, spread, seed))
@@ -62,9 +64,14 @@ def fit_medians(train: DataFrame, feature: str = "feature", value: str = "value"
     return exact_median(train, [feature], value, "median", max_groups=max_features)
 
 
-def apply_medians(values: DataFrame, medians: DataFrame, feature: str = "feature", value: str = "value") -> DataFrame:
-    """Fills nulls in long form from fitted medians; ``medians`` has one row per feature of the vocabulary."""
-    return (
-        values.join(F.broadcast(medians), feature, "left")
-        .withColumn(value, F.coalesce(F.col(value), F.col("median"))).drop("median")
-    )
+def apply_medians(values: DataFrame, medians: DataFrame, feature: str = "feature", value: str = "value",
+                  max_features: int | None = None) -> DataFrame:
+    """Fills nulls in long form from fitted medians, one row per feature.
+
+    With a proven bound on the features the medians are broadcast; otherwise they are measured first.
+    """
+    if max_features is not None and max_features <= BROADCAST_ROWS:
+        joined = values.join(F.broadcast(medians), feature, "left")
+    else:
+        joined = lookup_join(values, medians, [feature])
+    return joined.withColumn(value, F.coalesce(F.col(value), F.col("median"))).drop("median")

@@ -251,7 +251,7 @@ def median_impute(spark, sf_dir):
         ["name"], list(measures), "feature", "value")
     values = long.join(assigned.select("name", "split"), "name")
     medians = impute.fit_medians(values.where("split = 'train'"), max_features=len(measures))
-    return impute.apply_medians(values, medians).select("name", "split", "feature", F.round("value", 6).alias("value"))
+    return impute.apply_medians(values, medians, max_features=len(measures)).select("name", "split", "feature", F.round("value", 6).alias("value"))
 
 
 # --- splits and weights ------------------------------------------------------------------
