@@ -99,7 +99,7 @@ def encoded_athletes(spark, sf_dir):
     height_cm as "Height_cm", weight_kg as "Weight_kg", round({BMI}, 9) as "BMI"
   from athletes a left join flags on flags.name = a.name left join wide on wide.name = a.name""")
 def wide_features(spark, sf_dir):
-    """The full wide table in its fixed column order, over a short time vocabulary."""
+    """The full wide table in its fixed column order."""
     people = encoded_athletes(spark, sf_dir)
     times = reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES)
     flags = labels.widen_indicators(people.select(F.col("Name").alias("name")), labels.entered(V.race_raw(spark, sf_dir)))
@@ -113,7 +113,7 @@ KNOWN = ", ".join(f"'{f}'" for f in WIDE_FEATURES)
 
 
 @query("wide_features__b5", f"""with {O.BEST_CTES}
-  {wide_sql(WIDE_FEATURES, f"(select * from best where {O.feature()} in ({KNOWN})) b")}""")
+  {wide_sql(WIDE_FEATURES, only_known=True)}""")
 def structural_columns(spark, sf_dir):
     """Columns of the vocabulary that nobody has a mark for exist and are null."""
     return reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES)

@@ -11,6 +11,7 @@ from laptrace.plans import views as V
 from laptrace.plans.registry import query
 from laptrace.session import fresh_path
 from laptrace.sources import records, synthetic, tables
+from laptrace.vocab import COURSES, YOUTH_AGES
 
 RECORDS = """select name as "Swimmer_ID", race_date as "Race_Date", event_name as "Event_Name", course as "Course",
   time_seconds as "Time_Seconds", meet_name as "Meet_Name", meet_url as "Meet_URL" from races"""
@@ -58,29 +59,25 @@ def write_records(spark, sf_dir):
     return spark.read.schema("name string, event string, course string, age int, time_seconds double").json(path)
 
 
-# A small vocabulary for the wide queries: 24 features that occur and 6 that never do.
-WIDE_EVENTS = ["100mFree", "200mBack", "50mFly", "400mIM"]
-WIDE_FEATURES = [
-    f"{e}_{c}_Age{a}_FastestTime" for e in WIDE_EVENTS for c in ("LCM", "SCM") for a in (12, 17, 22)
-] + [f"1650mFree_{c}_Age{a}_FastestTime" for c in ("LCM", "SCM", "SCY") for a in (10, 11)]
+# The wide queries use the whole structural vocabulary; many of its features nobody has a mark for.
+WIDE_FEATURES = sorted(
+    f"{e}_{c}_Age{a}_FastestTime"
+    for e in reshape.STRUCTURAL_EVENTS for c in COURSES for a in range(YOUTH_AGES[0], YOUTH_AGES[1] + 1))
 
 
-def wide_sql(features: list[str], source: str = "best", key: str = "name") -> str:
-    cells = ", ".join(f"min(case when {O.feature()} = '{f}' then time_seconds end) as \"{f}\"" for f in features)
-    return f"select {key}, {cells} from {source} group by {key}"
-
-
-def wide_known_sql(features: list[str]) -> str:
-    """Only athletes with at least one of the features, as a pivot over matching rows gives."""
+def wide_sql(features: list[str], only_known: bool = False) -> str:
+    """Wide table over the features; ``only_known`` leaves out athletes without any of them, as a pivot does."""
+    cells = ", ".join(f"min(time_seconds) filter (where feature = '{f}') as \"{f}\"" for f in features)
     known = ", ".join(f"'{f}'" for f in features)
-    return wide_sql(features, f"(select * from best where {O.feature()} in ({known})) b")
+    where = f"where feature in ({known})" if only_known else ""
+    return f"select name, {cells} from (select *, {O.feature()} as feature from best) {where} group by name"
 
 
 def wide_schema(features: list[str]) -> str:
     return "name string, " + ", ".join(f"`{f}` double" for f in features)
 
 
-@query("io_csv_roundtrip__a3", f"with {O.BEST_CTES} {wide_known_sql(WIDE_FEATURES)}")
+@query("io_csv_roundtrip__a3", f"with {O.BEST_CTES} {wide_sql(WIDE_FEATURES, only_known=True)}")
 def read_wide(spark, sf_dir):
     path = fresh_path(spark, "wide")
     tables.write_csv(reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES), path)
