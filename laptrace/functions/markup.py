@@ -207,7 +207,9 @@ def row_text(row: Column) -> Column:
     """Texts of the cells of a row, a separator between them; tags vanish without leaving a blank."""
     cut = F.regexp_replace(row, r"(?i)<t[dh]\b[^>]*>", CELL_END)
     text = unescape(F.regexp_replace(cut, r"(?s)<[^>]*>", ""))
-    tidy = F.regexp_replace(F.regexp_replace(text, r"(?U)\s{2,}|[^\S \x1f]", " "), f" ?{CELL_END} ?", CELL_END)
+    tidy = F.regexp_replace(text, r"(?U)\s{2,}|[^\S \x1f]", " ")
+    for padded in (f" {CELL_END}", f"{CELL_END} "):
+        tidy = F.replace(tidy, F.lit(padded), F.lit(CELL_END))
     return F.trim(F.regexp_replace(tidy, f"^[^{CELL_END}]*{CELL_END}", ""))
 
 
