@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laptrace.llm import balance, covertree
+import public_tokenizers
+
+from laptrace.llm import balance, bpe, covertree, wavelet
 from laptrace.llm.registry import QUERIES, SQL, query
 from laptrace.llm.tables import table
+from laptrace.session import fresh_path
 
 __all__ = ["QUERIES", "SQL"]
 
+#: The tokenizer of the queries; the operators take any path.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 
 @query("op2_exact_top_k", sql="""
 with points as (
@@ -35,3 +41,16 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = balance.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+@query("op6_bpe_encode_decode")
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE,
+                      outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op10_wavelet_shards")
+def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "wavelet")
+    wavelet.write(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=2)
+    return wavelet.documents(spark, path)

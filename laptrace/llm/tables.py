@@ -29,7 +29,7 @@ def partitions(df: DataFrame, mb_each: int = 16) -> int:
 
     The size is the optimizer's estimate, for files the bytes on disk; it bounds what one task holds.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(size // (mb_each << 20), 1_000_000))
 
