@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from laptrace.llm import balance, bpe, covertree, wavelet
+from laptrace.llm import balance, bpe, covertree, near, wavelet
 from laptrace.llm.registry import QUERIES, SQL, query
 from laptrace.llm.tables import table
 from laptrace.session import fresh_path
@@ -54,3 +54,42 @@ def op10_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "wavelet")
     wavelet.write(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=2)
     return wavelet.documents(spark, path)
+
+
+@query("op9_setsketch_near_dedup", sql="""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') as w
+    from documents where text is not null
+), sets as (
+    select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) = 1 then [w]
+                                 else list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]]) end) as s
+    from words
+), shingles as (
+    select doc_id, len(s) as n, md5(unnest(s)::varchar) as h from sets
+), classes as (
+    select doc_id, n, min(doc_id) over (partition by n, digest) as rep
+    from (select doc_id, n, md5(string_agg(h, '' order by h)) as digest from shingles group by doc_id, n)
+), reps as (
+    select s.doc_id, s.n, s.h from shingles s join classes c on s.doc_id = c.doc_id and c.doc_id = c.rep
+), common as (
+    select x.doc_id as a, y.doc_id as b, x.n as na, y.n as nb, count(*) as shared
+    from reps x join reps y on x.h = y.h and x.doc_id < y.doc_id
+      and 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+    group by all
+), links as (
+    select a, b from common where 100 * shared >= 80 * (na + nb - shared)
+    union all select doc_id, rep from classes where doc_id <> rep
+), sides as (
+    select a, b from links union all select b, a from links
+), reach(node, seen) as (
+    select a, b from sides
+    union select r.node, s.b from reach r join sides s on r.seen = s.a
+)
+select d.doc_id, coalesce(len(s.s), 0)::bigint as n_shingles, least(d.doc_id, coalesce(r.low, d.doc_id)) as component_id,
+       d.doc_id = least(d.doc_id, coalesce(r.low, d.doc_id)) as kept
+from documents d left join sets s on d.doc_id = s.doc_id
+left join (select node, min(seen) as low from reach group by node) r on d.doc_id = r.node
+""")
+def op9_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
