@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from laptrace.llm import balance, bpe, covertree, near, wavelet
+from laptrace.llm import balance, bpe, covertree, near, repeats, wavelet
 from laptrace.llm.registry import QUERIES, SQL, query
 from laptrace.llm.tables import table
 from laptrace.session import fresh_path
@@ -93,3 +93,30 @@ left join (select node, min(seen) as low from reach group by node) r on d.doc_id
 """)
 def op9_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query("op7_substring_dedup", sql="""
+with words as (
+    select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as w from documents
+), windows as (
+    select doc_id, unnest(range(1, len(w) - 18)) as i, w from words where len(w) >= 20
+), hashed as (
+    select doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) as h from windows
+), later as (
+    select doc_id, i from (select *, row_number() over (partition by h order by doc_id, i) as n from hashed) where n > 1
+), gone as (
+    select distinct doc_id, unnest(range(i, i + 20)) as i from later
+), places as (
+    select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from words
+), kept as (
+    select p.doc_id, count(g.i) as n_removed,
+           coalesce(string_agg(case when g.i is null then p.word end, ' ' order by p.i), '') as text
+    from places p left join gone g on p.doc_id = g.doc_id and p.i = g.i group by p.doc_id
+)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(k.n_removed, 0) as bigint) as n_removed,
+       sha256(coalesce(k.text, '')) as kept_sha256
+from words d left join kept k on d.doc_id = k.doc_id
+""")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeats(table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
