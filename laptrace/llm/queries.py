@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from laptrace.llm import balance, bpe, covertree, near, repeats, wavelet
+from laptrace.llm import balance, bpe, covertree, near, quality, repeats, wavelet
 from laptrace.llm.registry import QUERIES, SQL, query
 from laptrace.llm.tables import table
 from laptrace.session import fresh_path
@@ -120,3 +120,8 @@ from words d left join kept k on d.doc_id = k.doc_id
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.repeats(table(spark, sf_dir, "documents"), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op1_divergence_rules")
+def op1_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rules(table(spark, sf_dir, "documents"))
