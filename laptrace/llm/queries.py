@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from laptrace.llm import balance, bpe, covertree, near, quality, repeats, wavelet
+from laptrace.llm import balance, bilinear, bpe, covertree, near, quality, repeats, wavelet
 from laptrace.llm.registry import QUERIES, SQL, query
 from laptrace.llm.tables import table
 from laptrace.session import fresh_path
@@ -125,3 +125,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_divergence_rules")
 def op1_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rules(table(spark, sf_dir, "documents"))
+
+
+@query("op5_bilinear_scores")
+def op5_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return bilinear.score(table(spark, sf_dir, "documents"), held_out)
