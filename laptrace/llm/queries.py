@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from laptrace.llm import balance, bilinear, bpe, covertree, near, quality, repeats, wavelet
+from laptrace.llm import balance, bilinear, bpe, covertree, licences, near, quality, repeats, wavelet
 from laptrace.llm.registry import QUERIES, SQL, query
 from laptrace.llm.tables import table
 from laptrace.session import fresh_path
@@ -131,3 +131,8 @@ def op1_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
     return bilinear.score(table(spark, sf_dir, "documents"), held_out)
+
+
+@query("op3_licence_sentences", sql=licences.scan_sql())
+def op3_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
