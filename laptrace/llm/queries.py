@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from laptrace.llm import balance, bilinear, bpe, covertree, licences, near, quality, repeats, wavelet
+from laptrace.llm import balance, bilinear, bpe, covertree, language, licences, near, quality, repeats, wavelet
 from laptrace.llm.registry import QUERIES, SQL, query
 from laptrace.llm.tables import table
 from laptrace.session import fresh_path
@@ -136,3 +136,8 @@ def op5_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_licence_sentences", sql=licences.scan_sql())
 def op3_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_language_fusion")
+def op8_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))

@@ -195,7 +195,8 @@ def _remove(lengths: list[int], buckets: Buckets, schema: pa.Schema):
             spans[d].append({"start": a, "words": b})
         columns = {"n_words": pa.array(words.counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
                    "spans": pa.array(spans, schema.field("spans").type), "kept_text": text}
-        out = [columns[f.name] if f.name in columns else chunk.table[f.name].cast(f.type) for f in schema]
+        out = [columns[f.name] if f.name in columns else chunk.table[f.name].combine_chunks().cast(f.type)
+               for f in schema]
         return pa.Table.from_arrays(out, schema=schema)
     return run
 
@@ -222,7 +223,7 @@ def _kept(words: Words, gone: np.ndarray) -> tuple[pa.Array, np.ndarray]:
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20,
             carry: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, spans, kept_text for every row; with ``carry`` also its text as ``text``.
+    """doc_id, n_words, n_removed, spans, kept_text for every row; with ``carry`` the whole row as ``row``.
 
     A word goes if a window of ``window`` words over it also starts earlier: in a row with a smaller
     id, or before in the same text.  Windows are compared on the input.  ``spans`` are the runs that
@@ -234,9 +235,11 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     very long text is the least a task holds.
     """
     lengths = levels(window)
-    narrow_docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    narrow_docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                              *[F.struct(*others).alias("row")] * carry)
     dealt, parts = chunked(narrow_docs, "doc_id")
-    dealt = dealt.select("chunk", "doc_id", "text")
+    dealt = dealt.select("chunk", "doc_id", "text", *["row"] * carry)
     rough, full = Buckets(parts, ROUGH), Buckets(parts)
     spark = docs.sparkSession
     answers = spark.createDataFrame([], ANSWER)
@@ -257,7 +260,9 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("words", T.IntegerType())]))
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
               T.StructField("n_removed", T.LongType()), T.StructField("spans", span),
-              T.StructField("kept_text", T.StringType())] + [T.StructField("text", T.StringType())] * carry
+              T.StructField("kept_text", T.StringType())]
+    if carry:
+        fields += [T.StructField("text", T.StringType()), dealt.schema["row"]]
     schema = T.StructType(fields)
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -265,6 +270,21 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
         _remove(lengths, rough, to_arrow_schema(schema)), schema)
 
 
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20,
+                    length: str | None = None) -> DataFrame:
+    """The rows with all their columns and the repeated passages cut from their texts.
+
+    Texts that lose nothing stay as they are, others are their kept words joined by one blank; a column
+    named by ``length`` gets the new number of characters.
+    """
+    found = repeats(docs, doc_id, text, window, carry=True)
+    new = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    columns = {c: F.col("row")[c] for c in docs.columns if c != text} | {text: new}
+    if length:
+        columns[length] = F.char_length(new).cast(docs.schema[length].dataType)
+    return found.select(*[columns[c].alias(c) for c in docs.columns])
+
+
 def _alone(ask):
     """A question without answers yet."""
     empty = _ANSWER.empty_table()
