@@ -6,9 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from laptrace.llm import balance, bpe, near, quality, repeats
+from laptrace.llm.queries import WORD_BPE
 from laptrace.llm.tables import stored, table
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    return quality.keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near-duplicates (five-word shingles, similarity 0.8) the smallest id stays."""
+    gone = near.near_duplicates(docs, width=5, percent=80).filter("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 20 words and more that started earlier are cut from the texts; all documents stay."""
+    return repeats.without_repeats(docs, window=20, length="n_chars")
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, some not at all and some twice."""
+    return balance.repeated(docs, balance.mix(docs, weights=(3, 1, 2), share=1.5, most=2.0))
+
+
+def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document of the mix: its ids' number and digest, and the digest of the decoded text."""
+    return bpe.encode(docs, WORD_BPE, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("source_mix", source_mix),
+    ("bpe_encode", bpe_encode),
+]
 
 #: Encoding with a public tokenizer is not expressible in SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
