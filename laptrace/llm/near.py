@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from laptrace.llm import setsketch
 from laptrace.llm.components import components
-from laptrace.llm.tables import partitions, stored
+from laptrace.llm.tables import stored
 from laptrace.llm.words import Words, mixed, pair_hash, slices
 
 #: Six standard deviations of the estimate at a similarity of 0.8: true links stay candidates.
 MARGIN = 0.16
+#: Documents and shingles of a family that a block holds; two blocks meet in a task.
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 500_000
 
 
 def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -31,7 +33,7 @@ def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     rolled, have = mixed(hashes), np.minimum(counts, width)
     for k in range(1, width):
         at = np.arange(n - k)
-        rolled[at] = pair_hash(rolled[at], hashes[k:]) if k < 2 else pair_hash(rolled[at], hashes[k:])
+        rolled[at] = pair_hash(rolled[at], hashes[k:])
     number = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
     offsets = np.concatenate([[0], np.cumsum(number)])
     keep = np.repeat(words.first[:-1] - offsets[:-1], number) + np.arange(offsets[-1])
@@ -122,6 +124,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Banding misses a pair at the threshold with a chance below 3e-6, falling fast above it, and the
     estimate's margin is six standard deviations; components are mostly held by many links at once.
+    Every bucket's members meet its smallest one first.  What that leaves in different components is
+    compared across components, block by block inside a task, which passes on no more links than hold
+    the components together; a large group of near copies is spread over many tasks that way.
     """
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketched = stored(sketches(narrow, width), "sketches")
@@ -147,21 +152,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     own = doubles.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     star = stored(components(confirmed.unionAll(own)), "stars")
 
-    # buckets that still hold more than one component: all pairs across components
-    def labelled(df: DataFrame, star: DataFrame) -> DataFrame:
-        return df.join(star, df["rep"] == star["node"], "left").withColumn(
-            "comp", F.coalesce("component", "rep")).drop("node", "component")
-
-    held = labelled(members.select("key", "rep", "size"), star)
-    split = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    open_ = stored(held.join(split, "key"), "open")
-    left, right = open_.alias("x"), open_.alias("y")
-    across = left.join(right, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))
-                       & (F.col("x.comp") != F.col("y.comp"))).select(
-        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.size").alias("size_a"),
-        F.col("y.size").alias("size_b")).filter(fits).distinct()
-    rest = across.join(first.select("a", "b"), ["a", "b"], "left_anti")
-    more = _confirm(narrow, reps, rest, width, percent)
+    # buckets that still hold more than one component are put together where they share members, and
+    # the members of such a family are compared in blocks, across components only
+    held = members.select("key", "rep", "size").join(star, F.col("rep") == F.col("node"), "left").withColumn(
+        "comp", F.coalesce("component", "rep")).drop("node", "component")
+    split = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("rep").alias("head"))
+    open_ = stored(held.join(split.filter("lo < hi").select("key", "head"), "key"), "open")
+    family = components(open_.select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    joined = open_.select("rep", "comp", "size").distinct().join(family, F.col("rep") == F.col("node"))
+    kin = stored(joined.select(F.col("component").alias("family"), "rep", "comp", "size"), "kin")
+    blocks = kin.groupBy("family").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_ROWS, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = kin.join(blocks, "family").withColumn("own", own).withColumn("other", other).select(
+        "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+        F.col("rep").alias("doc_id"), "comp")
+    texts = _texts(narrow, kin.select(F.col("rep").alias("doc_id")))
+    more = met.join(texts, "doc_id").select("family", "i", "j", "own", "doc_id", "comp", "text").groupBy(
+        "family", "i", "j").applyInArrow(_across(width, percent), "a long, b long")
     links = star.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)
     star = stored(components(links), "stars")
 
@@ -181,8 +190,65 @@ def _confirm(narrow: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, p
     with_b = with_a.join(sketch.withColumnsRenamed({"doc_id": "b", "registers": "regs_b"}), "b")
     likely = stored(with_b.mapInPandas(_likely(percent / 100 - MARGIN), "a long, b long").distinct(), "likely")
     ends = likely.select(F.explode(F.array("a", "b")).alias("doc_id"), "a", "b")
-    texts = ends.join(narrow, "doc_id")
+    texts = ends.join(_texts(narrow, ends.select("doc_id").distinct()), "doc_id")
     sides = texts.groupBy("a", "b").agg(
         F.max(F.when(F.col("doc_id") == F.col("a"), F.col("text"))).alias("text_a"),
         F.max(F.when(F.col("doc_id") == F.col("b"), F.col("text"))).alias("text_b"))
     return stored(sides.mapInArrow(_verified(width, percent), "a long, b long"), "confirmed")
+
+
+#: Ids that a broadcast may hold (16 MB); more are met by a shuffle of the texts.
+BROADCAST_IDS = 1_000_000
+
+
+def _texts(narrow: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of the wanted ids, with what stands beside the ids, in a table of their own."""
+    wanted = stored(wanted, "wanted")
+    few = wanted.count() <= BROADCAST_IDS
+    return stored(narrow.join(F.broadcast(wanted) if few else wanted, "doc_id"), "texts")
+
+
+def _across(width: int, percent: int):
+    """The links between components in a pair of blocks, as few as hold the same components together."""
+    def run(rows: pa.Table) -> pa.Table:
+        side, comp, ids = (np.asarray(rows[c]) for c in ("own", "comp", "doc_id"))
+        left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+        found = []
+        if len(np.unique(comp)) > 1:
+            sets = list(_sets(rows["text"], width))
+            size = np.array([len(x) for x in sets])
+            common = _common(sets, left, right)
+            hit = 100 * common >= percent * (size[left][:, None] + size[right][None, :] - common)
+            hit &= (common > 0) & (comp[left][:, None] != comp[right][None, :])
+            parent = {c: c for c in comp.tolist()}
+
+            def root(c: int) -> int:
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
+            for x, y in zip(*np.nonzero(hit), strict=True):
+                a, b = root(int(comp[left[x]])), root(int(comp[right[y]]))
+                if a != b:
+                    parent[a] = b
+                    found.append((int(ids[left[x]]), int(ids[right[y]])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
+                         "b": pa.array([b for _, b in found], pa.int64())})
+    return run
+
+
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each left set shares with each right set, by products of 0/1 matrices."""
+    keys, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    rank = np.cumsum(times > 1) - 1  # only elements of more than one set can be shared
+    doc, column = doc[times[column] > 1], rank[column[times[column] > 1]]
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        lo, hi = np.searchsorted(column, (a, a + 4096))
+        matrix = np.zeros((len(sets), 4096), np.float32)
+        matrix[doc[lo:hi], column[lo:hi] - a] = 1
+        out += matrix[left] @ matrix[right].T
+    return np.rint(out).astype(np.int64)
