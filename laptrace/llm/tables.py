@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -13,7 +16,19 @@ BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it.
+
+    A cluster whose executors do not share that folder gets the package with --py-files.
+    """
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
