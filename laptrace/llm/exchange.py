@@ -18,10 +18,10 @@ from laptrace.llm.tables import partitions
 def chunked(docs: DataFrame, *key: str) -> tuple[DataFrame, int]:
     """Adds ``chunk`` by the hash of the key columns and deals rows by it; also the number of partitions.
 
-    There are two chunks for each partition.  Spark runs the shuffle once for all uses in one query.
+    There are as many chunks as partitions.  Spark runs the shuffle once for all uses in one query.
     """
     parts = partitions(docs)
-    chunk = F.pmod(F.xxhash64(*key), F.lit(2 * parts)).cast("int")
+    chunk = F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
     return docs.withColumn("chunk", chunk).repartition(parts, "chunk"), parts
 
 
