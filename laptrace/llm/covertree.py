@@ -212,8 +212,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", emb
     ``is_query`` is a condition on ``vectors``.  Components become floor(scale * x).  A query's own
     row, and any row with its id, is no candidate; rows repeated under one id are candidates one by one,
     and as queries share one list.  Ties go to the smaller id.  Null ids, null vectors and vectors with a null or
-    non-finite component take no part, nor do components whose integer or whose scores exceed a long;
-    vectors of different length never meet.  Fewer than ``k`` candidates give them all; an empty
+    non-finite component take no part, nor do vectors so long (2**31 after scaling) that scores would
+    not fit a long; vectors of different length never meet.  Fewer than ``k`` candidates give them all; an empty
     table gives an empty result; other columns are not looked at.
 
     The search is exact.  Blocks hold at most about ``block_rows`` rows of a length, dealt by a hash
@@ -226,8 +226,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", emb
                            F.coalesce(is_query, F.lit(False)).alias("asks")).filter(
         F.col("id").isNotNull() & x.isNotNull() & whole)
     clean = clean.withColumn("scaled", F.transform(x, lambda v: F.floor(v * scale)))
-    # a long holds the components, and by their norm every score
-    fits = F.forall("scaled", lambda v: F.abs(v.cast("double")) < 2.0 ** 62)
+    # below this norm a long holds every score
+    norm = F.aggregate(x, F.lit(0.0), lambda a, v: a + (v * scale) * (v * scale))
+    fits = norm < 2.0 ** 62
     points = stored(clean.filter(fits).select("id", "asks", F.col("scaled").alias("point"),
                                               F.size("scaled").alias("dim")), "points")
 

@@ -8,9 +8,12 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from laptrace.session import fresh_path
 
+#: Estimates above this many bytes stand for plans Spark knows nothing about.
+UNKNOWN = 1 << 50
 #: Characters between words: blank and the five ASCII control blanks.
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
@@ -43,10 +46,15 @@ def partitions(df: DataFrame, mb_each: int = 16) -> int:
     """Partitions for a shuffle of whole texts: the session's number, or more if the input is large.
 
     The size is the optimizer's estimate, for files the bytes on disk; it bounds what one task holds.
+    Where the plan has no usable estimate, the strings are measured in one pass.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > UNKNOWN:
+        texts = [f.name for f in df.schema.fields if f.dataType == T.StringType()]
+        size = df.select(sum((F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c in texts), F.lit(0)).alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(size // (mb_each << 20), 1_000_000))
+    return max(least, size // (mb_each << 20))
 
 
 def word_count(text: Column) -> Column:
