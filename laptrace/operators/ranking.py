@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def shuffled_rank(df: DataFrame, group: list[str], key: str, seed: int | str) -> DataFrame:
@@ -11,30 +11,24 @@ def shuffled_rank(df: DataFrame, group: list[str], key: str, seed: int | str) ->
     A group is cut into 4096 slices by the first three hex digits of the hash.  Slices
     are counted, a running total over the at most 4096 counts of a group says where
     each slice starts, and only rows of one slice are sorted together.  Keys must be
-    unique within a group.
+    unique within a group.  Rows of a null group are a group of their own.
     """
-    hashed = df.withColumn(
+    # a struct of nulls equals another one, so null groups survive the join
+    hashed = df.withColumn("__g", F.struct(*group)).withColumn(
         "__h", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
     ).withColumn("__slice", F.substring("__h", 1, 3))
-    running = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    running = Window.partitionBy("__g").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        hashed.groupBy(*group, "__slice").agg(F.count(F.lit(1)).alias("__n"))
+        hashed.groupBy("__g", "__slice").agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__start", F.coalesce(F.sum("__n").over(running), F.lit(0)))
-        .withColumn("group_rows", F.sum("__n").over(Window.partitionBy(*group)))
+        .withColumn("group_rows", F.sum("__n").over(Window.partitionBy("__g")))
         .drop("__n")
     )
-    within = Window.partitionBy(*group, "__slice").orderBy("__h", key)
+    within = Window.partitionBy("__g", "__slice").orderBy("__h", key)
     return (
         hashed.withColumn("__r", F.row_number().over(within))
-        .join(starts, [*group, "__slice"])
+        .join(starts, ["__g", "__slice"])
         .withColumn("rank", F.col("__start") + F.col("__r"))
-        .drop("__h", "__slice", "__start", "__r")
+        .drop("__g", "__h", "__slice", "__start", "__r")
     )
 
-
-def first_by(df: DataFrame, keys: list[str], order: list[Column], keep: list[str]) -> DataFrame:
-    """One row per key, the first in the given order; an aggregate, so it is combined before the shuffle."""
-    best = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*keep), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])).alias("__best")
-    )
-    return best.select(*keys, "__best.*")

@@ -8,8 +8,8 @@ from laptrace.functions.events import feature_name, feature_parts, standard_feat
 from laptrace.vocab import COURSES, STRUCTURAL_EVENTS, YOUTH_AGES
 
 YOUTH_PATTERN = "Age(" + "|".join(str(a) for a in range(YOUTH_AGES[0], YOUTH_AGES[1] + 1)) + ")"
-# Canonical events, three courses and ages 0 to 120: the most time features a model can have.
-MAX_FEATURES = len(STRUCTURAL_EVENTS) * len(COURSES) * 121
+# Columns a wide table or a model may have; more are an error, none is left out.
+MAX_FEATURES = 20_000
 
 
 def structural_features(spark: SparkSession, events: list[str] | None = None, courses: list[str] | None = None,
@@ -25,11 +25,6 @@ def structural_features(spark: SparkSession, events: list[str] | None = None, co
     return grid.withColumn("feature", feature_name(F.col("event"), F.col("course"), F.col("age")))
 
 
-def is_canonical() -> F.Column:
-    """Event, course and age are within the bounded vocabulary a model may use."""
-    return F.col("event").isin(STRUCTURAL_EVENTS) & F.col("course").isin(COURSES) & F.col("age").between(0, 120)
-
-
 def vocabulary(best: DataFrame) -> DataFrame:
     """Structural features and those seen in the data, with the number of observed values."""
     seen = best.groupBy("event", "course", "age").agg(F.count("time_seconds").alias("n_observed"))
@@ -45,6 +40,41 @@ def add_feature(best: DataFrame) -> DataFrame:
     return best.withColumn("feature", feature_name(F.col("event"), F.col("course"), F.col("age")))
 
 
+def all_features(best: DataFrame, max_features: int = MAX_FEATURES) -> list[str]:
+    """Names of all structural and all observed features, sorted; a longer list than the bound is an error."""
+    found = vocabulary(best).select("feature").limit(max_features + 1).collect()
+    if len(found) > max_features:
+        raise ValueError(f"more than {max_features} features")
+    return sorted(r["feature"] for r in found)
+
+
+def wide_rows(best: DataFrame, key: str = "name") -> DataFrame:
+    """One row per key with all its times as a map from feature to time.
+
+    Every observed feature is there; the width of a row is bounded by the features, not by the marks.
+    """
+    one = add_feature(best).groupBy(key, "feature").agg(F.min("time_seconds").alias("time_seconds"))
+    return one.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("feature", "time_seconds"))).alias("times"))
+
+
+def times_text(times: F.Column) -> F.Column:
+    """A row's times in feature order, as text."""
+    entries = F.transform(F.map_entries(times), lambda e: F.concat(
+        e["key"], F.lit("="), F.format_string("%.2f", e["value"])))
+    return F.coalesce(F.array_join(F.array_sort(entries), ";"), F.lit(""))
+
+
+def lengthen_rows(wide: DataFrame, key: str = "name") -> DataFrame:
+    """Back from maps to one row per time, the feature name taken apart."""
+    long = wide.select(key, F.explode("times").alias("feature", "time_seconds"))
+    return long.withColumns(feature_parts(F.col("feature")))
+
+
+def missing_profile(best: DataFrame, rows: int) -> DataFrame:
+    """Values and gaps of every structural and observed feature among ``rows`` rows; no pivot."""
+    return vocabulary(best).select("feature", "n_observed", (F.lit(rows) - F.col("n_observed")).alias("n_missing"))
+
+
 def widen(best: DataFrame, features: list[str], key: str = "name") -> DataFrame:
     """One row per key, one column per feature of the given list; unseen features are all null."""
     return (
@@ -55,7 +85,11 @@ def widen(best: DataFrame, features: list[str], key: str = "name") -> DataFrame:
 
 def lengthen(wide: DataFrame, key: str, features: list[str]) -> DataFrame:
     """Back to one row per observed value, the feature name taken apart."""
-    long = wide.unpivot([key], features, "feature", "time_seconds").where("time_seconds is not null")
+    # one array and one constant for the names, whatever their number; no projection per column
+    names = F.split(F.lit("\n".join(features)), "\n")
+    cells = wide.select(key, F.posexplode(F.array(*[F.col(f"`{f}`") for f in features])).alias("place", "time_seconds"))
+    long = cells.where("time_seconds is not null").select(
+        key, F.element_at(names, F.col("place") + 1).alias("feature"), "time_seconds")
     return long.withColumns(feature_parts(F.col("feature")))
 
 

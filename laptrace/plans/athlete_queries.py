@@ -10,7 +10,7 @@ from laptrace.operators import joins, labels, reshape
 from laptrace.plans import oracle as O
 from laptrace.plans import views as V
 from laptrace.plans.registry import query
-from laptrace.plans.source_queries import WIDE_FEATURES, wide_sql
+from laptrace.plans.source_queries import TIMES_SQL, WIDE_FEATURES, wide_sql
 from laptrace.vocab import GROUP_LABELS, PROGRAMME_EVENTS, REQUIRED_ATHLETE_FIELDS
 
 # --- column names, encodings ----------------------------------------------------
@@ -92,24 +92,29 @@ def encoded_athletes(spark, sf_dir):
     return A.encode(V.athletes(spark, sf_dir))
 
 
-@query("wide_features__b2", f"""with {O.BEST_CTES}, {INDICATOR_SQL},
-  wide as ({wide_sql(WIDE_FEATURES)}),
+def times_columns():
+    """How many times a row has, and all of them."""
+    return [F.coalesce(F.size("times"), F.lit(0)).alias("n_times"), reshape.times_text(F.col("times")).alias("times")]
+
+
+WIDE_SQL = f"wide as (select name, count(*) as n_times, {TIMES_SQL} as times from best group by name)"
+
+
+@query("wide_features__b2", f"""with {O.BEST_CTES}, {INDICATOR_SQL}, {WIDE_SQL},
   flags as (select a.name, {INDICATOR_CELLS} from athletes a left join pairs p on p.name = a.name group by a.name)
-  select a.name as "Name", {SEX} as "Sex_encoded", {FLAGS}, flags.* exclude (name), wide.* exclude (name),
-    height_cm as "Height_cm", weight_kg as "Weight_kg", round({BMI}, 9) as "BMI"
+  select a.name as "Name", {SEX} as "Sex_encoded", {FLAGS}, flags.* exclude (name),
+    height_cm as "Height_cm", weight_kg as "Weight_kg", round({BMI}, 9) as "BMI",
+    cast(coalesce(n_times, 0) as integer) as n_times, coalesce(times, '') as times
   from athletes a left join flags on flags.name = a.name left join wide on wide.name = a.name""")
 def wide_features(spark, sf_dir):
-    """The full wide table in its fixed column order."""
+    """The full wide table, a row per athlete in its fixed order, with every observed time."""
     people = encoded_athletes(spark, sf_dir)
-    times = reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES)
     flags = labels.widen_indicators(people.select(F.col("Name").alias("name")), labels.entered(V.race_raw(spark, sf_dir)))
-    wide = reshape.attach_wide(reshape.attach_wide(people, flags, "Name", "name"), times, "Name", "name")
+    wide = reshape.attach_wide(reshape.attach_wide(people, flags, "Name", "name"),
+                               reshape.wide_rows(V.best_marks(spark, sf_dir)), "Name", "name")
     lead = ["Name", "Sex_encoded", *[flag_name(g) for g in GROUP_LABELS]]
     order = reshape.ordered_columns(wide.columns, lead, ["Height_cm", "Weight_kg", "BMI"])
-    return wide.select(*order).withColumn("BMI", F.round("BMI", 9))
-
-
-KNOWN = ", ".join(f"'{f}'" for f in WIDE_FEATURES)
+    return wide.select(*order, *times_columns()).withColumn("BMI", F.round("BMI", 9))
 
 
 @query("wide_features__b5", f"""with {O.BEST_CTES}
@@ -119,59 +124,65 @@ def structural_columns(spark, sf_dir):
     return reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES)
 
 
-@query("wide_features__d2", f"""with {O.BEST_CTES}, wide as ({wide_sql(WIDE_FEATURES)})
-  select a.name, a.height_cm, wide.* exclude (name) from athletes a left join wide on wide.name = a.name""")
+@query("wide_features__d2", f"""with {O.BEST_CTES}, {WIDE_SQL}
+  select a.name, a.height_cm, cast(coalesce(n_times, 0) as integer) as n_times, coalesce(times, '') as times
+  from athletes a left join wide on wide.name = a.name""")
 def athletes_with_times(spark, sf_dir):
     """Athletes without any race stay."""
     people = V.athletes(spark, sf_dir).select(F.col("Name").alias("name"), F.col("Height_cm").alias("height_cm"))
-    return reshape.attach_wide(people, reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES), "name", "name")
-
-
-EVENT_CELLS = ", ".join(
-    f"min(case when event = '{e}' then time_seconds end) as \"{e}\"" for e in reshape.STRUCTURAL_EVENTS)
+    wide = reshape.attach_wide(people, reshape.wide_rows(V.best_marks(spark, sf_dir)), "name", "name")
+    return wide.select("name", "height_cm", *times_columns())
 
 
-@query("wide_features__e2", f"with {O.BEST_CTES} select name, course, {EVENT_CELLS} from best group by name, course")
+@query("wide_features__e2", f"""with {O.BEST_CTES},
+  cells as (select name, course, event, min(time_seconds) as t from best group by all)
+  select name, course, cast(count(*) as integer) as n_events,
+    string_agg(event || '=' || printf('%.2f', t), ';' order by event || '=') as events
+  from cells group by name, course""")
 def pivot_events(spark, sf_dir):
-    """Best time of every structural event side by side, per athlete and course."""
+    """Best time of every event side by side, per athlete and course: one map for each."""
     best = V.best_marks(spark, sf_dir)
-    return best.groupBy("name", "course").pivot("event", reshape.STRUCTURAL_EVENTS).agg(F.min("time_seconds"))
+    cells = best.groupBy("name", "course", "event").agg(F.min("time_seconds").alias("t"))
+    wide = cells.groupBy("name", "course").agg(F.map_from_entries(F.collect_list(F.struct("event", "t"))).alias("times"))
+    return wide.select("name", "course", F.size("times").alias("n_events"), reshape.times_text(F.col("times")).alias("events"))
 
 
 @query("unpivot_features__i13", f"""with {O.BEST_CTES}
-  select name, {O.feature()} as feature, time_seconds, event, course, age from best
-  where {O.feature()} in ({KNOWN})""")
+  select name, {O.feature()} as feature, time_seconds, event, course, age from best""")
 def unpivot_features(spark, sf_dir):
-    wide = reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES)
-    return reshape.lengthen(wide, "name", WIDE_FEATURES)
+    return reshape.lengthen_rows(reshape.wide_rows(V.best_marks(spark, sf_dir)))
 
 
-@query("missing_profile__b6", f"""with {O.BEST_CTES}, wide as ({wide_sql(WIDE_FEATURES)}),
-  w as (select a.height_cm, a.weight_kg, wide.* exclude (name) from athletes a left join wide on wide.name = a.name),
-  counted as (select count(*) as n_rows, {", ".join(f'count("{f}") as "{f}"' for f in ["height_cm", "weight_kg", *WIDE_FEATURES])} from w)
-  select feature, n_observed, n_rows - n_observed as n_missing
-  from (unpivot counted on * exclude (n_rows) into name feature value n_observed)""")
+@query("missing_profile__b6", f"""with {O.BEST_CTES},
+  seen as (select {O.feature()} as feature, count(time_seconds) as n from best group by all),
+  fixed as (select unnest({O.sql_list(WIDE_FEATURES)}) as feature),
+  counted as (
+    select coalesce(s.feature, f.feature) as feature, coalesce(n, 0) as n_observed from seen s full join fixed f on s.feature = f.feature
+    union all select 'height_cm', count(height_cm) from athletes union all select 'weight_kg', count(weight_kg) from athletes)
+  select feature, n_observed, (select count(*) from athletes) - n_observed as n_missing from counted""")
 def missing_profile(spark, sf_dir):
-    people = V.athletes(spark, sf_dir).select(
-        F.col("Name").alias("name"), F.col("Height_cm").alias("height_cm"), F.col("Weight_kg").alias("weight_kg"))
-    wide = reshape.attach_wide(people, reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES), "name", "name")
-    return reshape.observed_counts(wide, ["height_cm", "weight_kg", *WIDE_FEATURES])
+    """Values and gaps of every column of the wide table, from the long form."""
+    people = V.athletes(spark, sf_dir).select("Height_cm", "Weight_kg").toDF("height_cm", "weight_kg")
+    body = reshape.observed_counts(people, ["height_cm", "weight_kg"])
+    return reshape.missing_profile(V.best_marks(spark, sf_dir), people.count()).unionByName(body)
 
 
-@query("rf_train__b11", f"""with {O.BEST_CTES}, wide as ({wide_sql(WIDE_FEATURES)})
-  select a.name as "Name", {len(WIDE_FEATURES) + 4} as n_features,
-    cast({" + ".join([f'("{f}" is not null)::int' for f in WIDE_FEATURES])}
-      + (height_cm is not null)::int + (weight_kg is not null)::int + ({BMI} is not null)::int
+@query("rf_train__b11", f"""with {O.BEST_CTES}, {WIDE_SQL},
+  listed as (select {O.feature()} as feature from best union select unnest({O.sql_list(WIDE_FEATURES)}))
+  select a.name as "Name", cast((select count(*) from listed) + 4 as integer) as n_features,
+    cast(coalesce(n_times, 0) + (height_cm is not null)::int + (weight_kg is not null)::int + ({BMI} is not null)::int
       + (({SEX}) is not null)::int as integer) as n_present
   from athletes a left join wide on wide.name = a.name""")
 def feature_columns(spark, sf_dir):
-    """All columns but id, label sources and protected attributes are features."""
+    """All columns but id, label sources and group flags are features."""
+    best = V.stored_best_marks(spark, sf_dir)
     people = encoded_athletes(spark, sf_dir)
-    wide = reshape.attach_wide(people, reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES), "Name", "name")
     left_out = {"Name", "Date_of_Birth", "Sex", "Ethnicity", "paris_2024_races", *[flag_name(g) for g in GROUP_LABELS]}
-    features = [c for c in wide.columns if c not in left_out]
-    array = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
-    return wide.select("Name", F.size(array).alias("n_features"), F.size(F.array_compact(array)).alias("n_present"))
+    body = [c for c in people.columns if c not in left_out]
+    wide = reshape.attach_wide(people, reshape.wide_rows(best), "Name", "name")
+    present = sum((F.col(c).isNotNull().cast("int") for c in body), F.coalesce(F.size("times"), F.lit(0)))
+    return wide.select("Name", F.lit(len(reshape.all_features(best)) + len(body)).alias("n_features"),
+                       present.alias("n_present"))
 
 
 # --- indicators ---------------------------------------------------------------------

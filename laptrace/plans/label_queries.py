@@ -10,9 +10,10 @@ from laptrace.operators import impute, labels, metrics, races, reshape, scoring,
 from laptrace.plans import oracle as O
 from laptrace.plans import training as T
 from laptrace.plans import views as V
+from laptrace.plans.athlete_queries import BMI, SEX
 from laptrace.plans.race_queries import VOCABULARY
 from laptrace.plans.registry import query
-from laptrace.plans.source_queries import CANONICAL, ORDER_SPLIT, SUMMARY, labels_cells
+from laptrace.plans.source_queries import ORDER_SPLIT, SUMMARY, labels_cells
 from laptrace.session import fresh_path
 from laptrace.sources.tables import materialise
 from laptrace.vocab import (
@@ -340,24 +341,31 @@ def holdout_scores(spark, sf_dir):
 
 
 @query("score_align__k10", f"""with {O.BEST_CTES},
-  features as (select distinct {O.feature()} as feature from best where {CANONICAL} union select unnest(['Height_cm', 'Weight_kg'])),
-  given as (
-    select name, {O.feature()} as feature, time_seconds as value from best where {CANONICAL} and course = 'LCM'
-    union all select name, 'Height_cm', height_cm from athletes union all select name, 'Weight_kg', weight_kg from athletes
-  )
-  select a.name, f.feature, cast(coalesce(g.value, case when contains(f.feature, 'FastestTime') then 999.0 else 0.0 end) as double) as value
-  from athletes a cross join features f left join given g on g.name = a.name and g.feature = f.feature""")
+  body as (
+    select name, 'Height_cm' as feature, height_cm as value from athletes
+    union all select name, 'Weight_kg', weight_kg from athletes union all select name, 'BMI', {BMI} from athletes
+    union all select name, 'Sex_encoded', {SEX} from athletes),
+  features as (select distinct {O.feature()} as feature from best union select unnest(['Height_cm', 'Weight_kg', 'BMI', 'Sex_encoded'])),
+  given as (select name, {O.feature()} as feature, time_seconds as value from best
+    union all select * from body where value is not null),
+  cells as (
+    select a.name, f.feature, g.value is not null as own,
+      cast(coalesce(g.value, case when contains(f.feature, 'FastestTime') then 999.0 else 0.0 end) as double) as value
+    from athletes a cross join features f left join given g on g.name = a.name and g.feature = f.feature)
+  select name, cast(count(*) as integer) as n_features, cast(count(*) filter (where own) as integer) as n_given,
+    md5(string_agg(printf('%.6f', value), ';' order by feature)) as vector_md5
+  from cells group by name""")
 def aligned_requests(spark, sf_dir):
-    """Requests that give long-course times and body measures, as dense arrays in training order."""
-    best = V.stored_best_marks(spark, sf_dir).where(reshape.is_canonical())
-    people = V.athletes(spark, sf_dir).select(F.col("Name").alias("name"), "Height_cm", "Weight_kg")
-    body = people.unpivot(["name"], ["Height_cm", "Weight_kg"], "feature", "value")
-    listed = reshape.add_feature(best).select("feature").unionByName(body.select("feature"))
+    """Requests that give all times and body measures, as one dense array each in training order."""
+    best = V.stored_best_marks(spark, sf_dir)
+    people = V.athletes(spark, sf_dir)
+    body = T.body_values(people)
+    listed = reshape.add_feature(best).select("feature").unionByName(
+        spark.createDataFrame([(f,) for f in T.BODY_FEATURES], "feature string"))
     features = materialise(scoring.feature_table(listed, T.MODEL_FEATURES), fresh_path(spark, "features"))
-    order = features.orderBy("position").collect()
-    values = T.mark_values(best.where("course = 'LCM'")).unionByName(body)
-    given = scoring.given_values(values, features, "name")
-    aligned = scoring.align(people.select("name").join(given, "name", "left"), [r["fallback"] for r in order])
-    names = F.split(F.lit("\n".join(r["feature"] for r in order)), "\n")
-    pairs = F.arrays_zip(names.alias("feature"), F.col("aligned").alias("value"))
-    return aligned.select("name", F.explode(pairs).alias("p")).select("name", "p.*").toDF("name", "feature", "value")
+    fallbacks = [r["fallback"] for r in features.orderBy("position").collect()]
+    given = scoring.given_values(T.mark_values(best).unionByName(body), features, "name")
+    aligned = scoring.align(people.select(F.col("Name").alias("name")).join(given, "name", "left"), fallbacks)
+    text = F.array_join(F.transform("aligned", lambda v: F.format_string("%.6f", v)), ";")
+    return aligned.select("name", F.size("aligned").alias("n_features"),
+                          F.coalesce(F.size("given"), F.lit(0)).alias("n_given"), F.md5(text).alias("vector_md5"))

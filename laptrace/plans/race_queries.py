@@ -157,20 +157,12 @@ def standardise_names(spark, sf_dir):
     return reshape.standard_names(listed.withColumn("ordinal", F.col("feature")))
 
 
-@query("drop_empty_features__b4", f"""with {O.BEST_CTES},
-  counted as (
-    select g.event || '_' || g.course || '_Age' || g.age || '_FastestTime' as feature, count(b.time_seconds) as n_observed
-    from {grid("10, 31")} left join best b on b.event = e.event and b.course = c.course and b.age = a.age
-    group by all)
-  select feature, n_observed from counted where n_observed > 0 or regexp_matches(feature, 'Age1[0-8]')""".replace(
-      "g.event", "e.event").replace("g.course", "c.course").replace("g.age", "a.age"))
+@query("drop_empty_features__b4", f"""with {O.BEST_CTES}, {VOCABULARY}
+  select event || '_' || course || '_Age' || age || '_FastestTime' as feature, n_observed from vocabulary
+  where n_observed > 0 or regexp_matches('Age' || age || '_', 'Age1[0-8]')""")
 def drop_empty_features(spark, sf_dir):
-    """Features of ages 10 to 30 that have a value, and the youth features in any case."""
-    wanted = reshape.structural_features(spark, ages=(10, 30)).select("event", "course", "age", F.lit(0).cast("long").alias("n_observed"))
-    seen = V.best_marks(spark, sf_dir).where(reshape.is_canonical() & F.col("age").between(10, 30)).groupBy(
-        "event", "course", "age").agg(F.count("time_seconds").alias("n_observed"))
-    counted = reshape.add_feature(wanted.unionByName(seen)).groupBy("feature").agg(F.sum("n_observed").alias("n_observed"))
-    return reshape.used_features(counted)
+    """All features that have a value, and the youth features in any case."""
+    return reshape.used_features(reshape.vocabulary(V.best_marks(spark, sf_dir))).select("feature", "n_observed")
 
 
 @query("available_events__i22", f"""with {O.BEST_CTES}

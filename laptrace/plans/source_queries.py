@@ -59,7 +59,7 @@ def write_records(spark, sf_dir):
     return spark.read.schema("name string, event string, course string, age int, time_seconds double").json(path)
 
 
-# The wide queries use the whole structural vocabulary; many of its features nobody has a mark for.
+# The structural columns, which exist even if nobody has a mark for them.
 WIDE_FEATURES = sorted(
     f"{e}_{c}_Age{a}_FastestTime"
     for e in reshape.STRUCTURAL_EVENTS for c in COURSES for a in range(YOUTH_AGES[0], YOUTH_AGES[1] + 1))
@@ -77,11 +77,18 @@ def wide_schema(features: list[str]) -> str:
     return "name string, " + ", ".join(f"`{f}` double" for f in features)
 
 
-@query("io_csv_roundtrip__a3", f"with {O.BEST_CTES} {wide_sql(WIDE_FEATURES, only_known=True)}")
+TIMES_SQL = f"""string_agg({O.feature()} || '=' || printf('%.2f', time_seconds), ';' order by {O.feature()})"""
+
+
+@query("io_csv_roundtrip__a3", f"with {O.BEST_CTES} select name, {O.feature()} as feature, time_seconds from best")
 def read_wide(spark, sf_dir):
+    """A wide file with every structural and observed column, read back; its cells as rows."""
     path = fresh_path(spark, "wide")
-    tables.write_csv(reshape.widen(V.best_marks(spark, sf_dir), WIDE_FEATURES), path)
-    return tables.read_csv(spark, path, wide_schema(WIDE_FEATURES))
+    best = V.stored_best_marks(spark, sf_dir)
+    features = reshape.all_features(best)
+    tables.write_csv(reshape.widen(best, features), path)
+    back = tables.read_csv(spark, path, wide_schema(features))
+    return reshape.lengthen(back, "name", features).select("name", "feature", "time_seconds")
 
 
 ORDER_SPLIT = """
@@ -154,15 +161,12 @@ def write_report(spark, sf_dir):
     return back.select("metric", F.round("value", 9).alias("value"))
 
 
-CANONICAL = ("event in (" + ", ".join(f"'{e}'" for e in reshape.STRUCTURAL_EVENTS) + ") and age between 0 and 120")
-
-
 @query("score_align__a10", f"""with {O.BEST_CTES}
   select cast(row_number() over (order by feature) - 1 as integer) as position, feature, 999.0::double as fallback
-  from (select distinct {O.feature()} as feature from best where {CANONICAL})""")
+  from (select distinct {O.feature()} as feature from best)""")
 def write_feature_order(spark, sf_dir):
     """The vocabulary in training order, saved and read back."""
-    best = reshape.add_feature(V.best_marks(spark, sf_dir).where(reshape.is_canonical()))
+    best = reshape.add_feature(V.best_marks(spark, sf_dir))
     return tables.materialise(scoring.feature_table(best, reshape.MAX_FEATURES), fresh_path(spark, "features"))
 
 

@@ -31,15 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads an input with fewer splits than cores over all of them before costly row-by-row work.
-
-    A table of many files has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def pick(values: list[str], index: Column) -> Column:
     """Element of a constant list, from zero."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
@@ -86,7 +77,7 @@ def race_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag, line = F.col("l_returnflag"), F.col("l_linenumber")
     course_word = F.when(flag == "A", "L ").when(flag == "N", "S ").otherwise("")
     hundredths = F.floor(F.col("l_discount") * 100).cast("string")
-    lines = spread(table(spark, sf_dir, "lineitem")).select(
+    lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("s_suppkey"),
         F.when(flag == "A", "LCM").when(flag == "N", "SCM").otherwise("SCY").alias("course"),
         F.concat(pick(DISTANCES, line - 1), F.lit(" "), course_word,
@@ -182,7 +173,7 @@ def race_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<p>"), F.when(k % 2 == 0, range_text(day)).otherwise(day_text(day)), F.lit(" &middot; "),
         pick(PAGE_COURSES, k % 3), F.lit("</p>\n"), sections, F.lit("</body></html>"))
     blocked = F.lit("<html><body><h1>403 Forbidden</h1></body></html>")
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         k.alias("page_id"), c.alias("athlete_id"),
         F.concat(F.lit("/results/"), s(k)).alias("url"),
         F.when(k % 50 == 7, blocked).otherwise(html).alias("html"))
@@ -191,13 +182,15 @@ def race_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @cache
 def _pages_path(_application: str, spark: SparkSession, sf_dir: str) -> str:
     path = fresh_path(spark, "pages")
-    race_pages(spark, sf_dir).write.parquet(path)
+    pages = race_pages(spark, sf_dir)
+    # the fixture is written in as many files as there are cores, so that readers find splits for all
+    pages.repartition(spark.sparkContext.defaultParallelism, "page_id").write.parquet(path)
     return path
 
 
 def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result pages as a stored table, written once per application: extraction starts from files."""
-    return spread(spark.read.parquet(_pages_path(spark.sparkContext.applicationId, spark, sf_dir)))
+    return spark.read.parquet(_pages_path(spark.sparkContext.applicationId, spark, sf_dir))
 
 
 def names_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
