@@ -11,7 +11,7 @@ from laptrace.llm import covertree
 def brute(rows, k, scale=64):
     clean = [(i, [math.floor(scale * x) for x in v]) for i, v in rows
              if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
-             and sum((scale * x) ** 2 for x in v) < 2.0 ** 62]
+             and sum((scale * x) * (scale * x) for x in v) < 2.0 ** 62]
     out = []
     for q, a in clean:
         if q % 20 == 0:
