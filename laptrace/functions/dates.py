@@ -8,10 +8,12 @@ from laptrace.functions.lookups import none_if_blank
 from laptrace.vocab import MONTHS
 
 _MONTH = "(?:" + "|".join(MONTHS) + ")[a-z]*"
-# fixed values: shapes of dates in page text
-_TEXT_DATE = (
-    rf"{_MONTH}\s+\d{{1,2}}[–\-]\d{{1,2}},?\s+\d{{4}}"
-    rf"|{_MONTH}\s+\d{{1,2}},?\s+\d{{4}}"
+# A day or a range of days in running text, in the shapes ``race_date`` reads: the month first, with a
+# second day or a second month and day behind a dash, or the day first.
+_DASH = r"\s*[–\-]\s*"
+TEXT_DATE = (
+    rf"\b{_MONTH}\.?\s+\d{{1,2}}(?:{_DASH}(?:{_MONTH}\.?\s+)?\d{{1,2}})?,?\s+\d{{4}}\b"
+    rf"|\b\d{{1,2}}\s+{_MONTH}\.?,?\s+\d{{4}}\b"
 )
 # fixed values: accepted shapes besides ISO, each with its ISO or ``Mon d yyyy`` rewriting
 _MONTH_FIRST = (r"^.*?([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{1,2})(?!\d).*?(\d{4}).*$", "$1 $2 $3")
@@ -61,4 +63,4 @@ def completed_years(born: Column, at: Column) -> Column:
 
 def first_date_text(text: Column) -> Column:
     """First month-name date or date range found in running text, as written."""
-    return none_if_blank(F.regexp_extract(text, f"({_TEXT_DATE})", 1))
+    return none_if_blank(F.regexp_extract(text, f"({TEXT_DATE})", 1))

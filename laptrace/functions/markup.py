@@ -2,40 +2,60 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, functions as F
 
+from laptrace.functions.dates import TEXT_DATE
 from laptrace.functions.lookups import alternatives, lookup, none_if_blank, once
 from laptrace.functions.names import collapse_spaces
 from laptrace.vocab import (
     BLOCK_PHRASES, CELL_COURSES, CELL_STROKE_WORDS, GAMES_DATE_PHRASES, GAMES_PHRASE, GAMES_RESULT_PATH,
-    SESSION_SHORT, SESSIONS,
+    PERSON_PATH, SESSION_SHORT, SESSIONS,
 )
 
-# fixed values: entities decoded in text, ampersand last
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&ndash;": "–",
-    "&copy;": "©", "&middot;": "·", "&amp;": "&",
-}
+# Named characters of HTML, from the standard library's table.
+NAMED = {name: chr(code) for name, code in sorted(name2codepoint.items())}
+# A tag; quoted values may hold a ``>``.
+TAG = r"<(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[^>]*>"
+# Comments, scripts and styles; one that is not closed runs to the end of the page.
+HIDDEN = r"<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+
+
+def _character(entity: Column) -> Column:
+    """What an entity's inside, ``amp`` or ``#8211`` or ``#x2013``, stands for; null if nothing."""
+    digits = F.when(entity.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(entity, 3, 6), 16, 10)).when(
+        entity.rlike("^#[0-9]{1,7}$"), F.substring(entity, 2, 7))
+    code = digits.cast("int")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    return F.coalesce(numeric, F.element_at(F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair]), entity))
 
 
 def unescape(text: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Entities, named and numbered, as characters; unknown ones stay.  One pass, so ``&amp;lt;`` is ``&lt;``."""
+    def piece(p: Column, i: Column) -> Column:
+        entity = F.regexp_extract(p, r"^(#?\w{1,10});", 1)
+        char = _character(entity)
+        kept = F.concat(F.lit("&"), p)
+        return F.when(i == 0, p).otherwise(F.when((entity != "") & char.isNotNull(), F.concat(
+            F.when(char == "\u00a0", " ").otherwise(char), F.substr(p, F.length(entity) + 2))).otherwise(kept))
+
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&"), piece), "")).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
     """Visible text: no scripts, styles, comments or tags, white space collapsed.
 
-    One pattern, tried only where a ``<`` stands, removes all four kinds in one pass.
+    One pattern removes all kinds in one pass; what is not closed ends with the page, so no part is
+    searched twice.
     """
-    gone = r"(?is)<(?:script\b.*?</script|style\b.*?</style|!--.*?--|[^>]*)>"
-    return collapse_spaces(unescape(F.regexp_replace(html, gone, " ")))
+    return collapse_spaces(unescape(F.regexp_replace(html, f"(?is){HIDDEN}|{TAG}", " ")))
 
 
 def inner_text(fragment: Column) -> Column:
     """Text of one element: tags vanish without leaving a blank, as a glued name shows."""
-    return collapse_spaces(unescape(F.regexp_replace(fragment, r"(?s)<[^>]*>", "")))
+    return collapse_spaces(unescape(F.regexp_replace(fragment, f"(?s){TAG}", "")))
 
 
 def element_text(html: Column, tag: str) -> Column:
@@ -48,14 +68,20 @@ def page_title(html: Column) -> Column:
     return F.coalesce(element_text(html, "h1"), element_text(html, "title"))
 
 
+HREF = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
 def anchors(html: Column) -> Column:
-    """All links of a page in order, as structs of href and text."""
-    found = F.regexp_extract_all(html, F.lit(r"(?is)(<a\b[^>]*\bhref=\"[^\"]*\"[^>]*>.*?</a>)"), F.lit(1))
+    """All closed links of a page in order, as structs of href and text; href with either quote or none.
+
+    The page is cut where links open, so no search runs past the next one.
+    """
+    opened = F.filter(F.split(html, r"(?i)(?=<a\b)"), lambda a: a.rlike(HREF) & a.rlike(r"(?i)</a\s*>"))
     return F.transform(
-        found,
+        opened,
         lambda a: F.struct(
-            unescape(F.regexp_extract(a, r"(?is)\bhref=\"([^\"]*)\"", 1)).alias("href"),
-            inner_text(a).alias("text"),
+            unescape(F.concat(*[F.regexp_extract(a, HREF, g) for g in (1, 2, 3)])).alias("href"),
+            inner_text(F.regexp_extract(a, r"(?is)^(.*?)</a\s*>", 1)).alias("text"),
         ),
     )
 
@@ -111,24 +137,37 @@ def session_of(heading: Column) -> Column:
 
 def headed_blocks(html: Column) -> Column:
     """Headings h1 to h4 in page order, each with its session and the first table before the next heading."""
-    pieces = F.split(html, r"(?i)(?=<h[1-4]\b)")
+    pieces = F.split(without_comments(html), r"(?i)(?=<h[1-4]\b)")
     blocks = F.filter(pieces, lambda b: b.rlike(r"(?i)^<h[1-4]\b"))
     return F.transform(
         blocks,
         lambda b, i: F.struct(
             i.alias("pos"),
             session_of(inner_text(F.regexp_extract(b, r"(?is)<h[1-4]\b[^>]*>(.*?)</h[1-4]>", 1))).alias("session"),
-            none_if_blank(F.regexp_extract(b, r"(?is)(<table\b.*?</table>)", 1)).alias("table"),
+            F.try_element_at(tables(b), F.lit(1)).alias("table"),
         ),
     )
 
 
+def without_comments(html: Column) -> Column:
+    return F.when(html.contains("<!--"), F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(html)
+
+
 def tables(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(r"(?is)(<table\b.*?</table>)"), F.lit(1))
+    """Closed tables in page order, comments left out; of nested tables the innermost.
+
+    The page is cut where tables open, so no search runs past the next one.
+    """
+    pieces = F.split(without_comments(html), r"(?i)(?=<table\b)")
+    found = F.transform(pieces, lambda p: F.regexp_extract(p, r"(?is)^(<table\b.*?</table\s*>)", 1))
+    return F.filter(found, lambda t: t != "")
 
 
 def rows(table: Column) -> Column:
-    return F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    """Contents of the rows of a table; a row that is not closed ends where the next one opens."""
+    pieces = F.filter(F.split(table, r"(?i)(?=<tr\b)"), lambda p: p.rlike(r"(?i)^<tr\b"))
+    return F.transform(pieces, lambda p: F.regexp_extract(
+        p, r"(?is)^<tr\b[^>]*>(.*?)(?:</tr\s*>|</table\s*>|\z)", 1))
 
 
 def by_size(page_tables: Column) -> Column:
@@ -187,11 +226,11 @@ def sessions_to_read(available: Column) -> Column:
 # kind is then a single regular expression, with no array to walk.
 
 CELL_END = "\x1f"
-_MONTH_DAY = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\s+\d{1,2},?\s+\d{4}"
-EVENT_CELL = rf"(?i:[^{CELL_END}]*(?:{alternatives(CELL_STROKE_WORDS)}|(?<![a-z])im(?![a-z]))[^{CELL_END}]*)"
+# an event names a distance before its stroke, so that no person's name is one
+EVENT_CELL = rf"(?i:[^{CELL_END}]*\d[^{CELL_END}]*(?:{alternatives(CELL_STROKE_WORDS)}|(?<![a-z])im(?![a-z]))[^{CELL_END}]*)"
 TIME_CELL = r"\d{1,2}:\d{2}\.\d{2}|\d{1,3}\.\d{2}|\d{1,2}:\d{2}:\d{2}(?:\.\d{1,2})?"
 COURSE_CELL = f"(?i:{alternatives(CELL_COURSES)})"
-DATE_CELL = rf"[^{CELL_END}]*\b{_MONTH_DAY}\b[^{CELL_END}]*|\d{{4}}-\d{{2}}-\d{{2}}"
+DATE_CELL = rf"[^{CELL_END}]*(?:{TEXT_DATE})[^{CELL_END}]*|\d{{4}}-\d{{2}}-\d{{2}}"
 
 
 def lines(html: Column) -> Column:
@@ -206,7 +245,7 @@ def lines(html: Column) -> Column:
 def row_text(row: Column) -> Column:
     """Texts of the cells of a row, a separator between them; tags vanish without leaving a blank."""
     cut = F.regexp_replace(row, r"(?i)<t[dh]\b[^>]*>", CELL_END)
-    text = unescape(F.regexp_replace(cut, r"(?s)<[^>]*>", ""))
+    text = unescape(F.regexp_replace(cut, f"(?s){TAG}", ""))
     tidy = F.regexp_replace(text, r"(?U)\s{2,}|[^\S \x1f]", " ")
     for padded in (f" {CELL_END}", f"{CELL_END} "):
         tidy = F.replace(tidy, F.lit(padded), F.lit(CELL_END))
@@ -228,9 +267,9 @@ def last_cell(text: Column, kind: str) -> Column:
     return none_if_blank(F.regexp_extract(bounded, f"(?s)^.*{CELL_END}({kind}){CELL_END}", 1))
 
 
-def person_link_text(row: Column) -> Column:
+def person_link_text(row: Column, path: str = PERSON_PATH) -> Column:
     """Text of the first link to a person outside the rank cell, null if there is none."""
-    person = r'(?is)^.*?</t[dh]>.*?<a\b[^>]*\bhref="[^"]*/swimmer/[^"]*"[^>]*>(.*?)</a>'
+    person = rf"""(?is)^.*?</t[dh]\s*>.*?<a\b[^>]*\bhref\s*=\s*["']?[^"'>]*{path}[^>]*>(.*?)</a\s*>"""
     return none_if_blank(inner_text(F.regexp_extract(row, person, 1)))
 
 

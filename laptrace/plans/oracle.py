@@ -186,11 +186,14 @@ race_pages as (
 PAGE_CTES = f"{PAGE_ROWS}, {PAGES}"
 
 
+# The entities that the pages hold; the oracle has its own list.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&ndash;": "–", "&copy;": "©",
+            "&middot;": "·", "&amp;": "&"}
+
+
 def plain_text(html: str) -> str:
     body = f"regexp_replace({html}, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g')"
     out = f"regexp_replace({body}, '(?s)<[^>]*>', ' ', 'g')"
-    from laptrace.functions.markup import ENTITIES
-
     for entity, char in ENTITIES.items():
         out = f"replace({out}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
@@ -198,8 +201,6 @@ def plain_text(html: str) -> str:
 
 def inner_text(fragment: str) -> str:
     out = f"regexp_replace({fragment}, '(?s)<[^>]*>', '', 'g')"
-    from laptrace.functions.markup import ENTITIES
-
     for entity, char in ENTITIES.items():
         out = f"replace({out}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"

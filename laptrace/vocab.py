@@ -154,3 +154,5 @@ SEARCH_DRAWS = 50
 SEARCH_FOLDS = 5
 TEST_FRACTION = 0.2
 SEED = 42
+# Part of the address of a person's page.
+PERSON_PATH = "/swimmer/"

@@ -1,6 +1,7 @@
 """Literal edge rows."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ def apply(spark, values, fn, kind="string"):
     return [r["out"] for r in rows]
 
 
+def apply_all(spark, fn, *values):
+    return apply(spark, values, fn)
+
+
 def test_race_dates(spark):
     cases = {
         "Apr 21–24, 2025": "2025-04-21", "Jul 27–Aug 4, 2024": "2024-07-27", "2024-07-27": "2024-07-27",
@@ -141,3 +146,53 @@ def test_page(spark):
     assert [sorted(r["to_read"]) for r in sessions] == [["finals", "semifinals"], []]
     text = df.where("page_id = 1").select(markup.plain_text(F.col("html")).alias("t")).first()["t"]
     assert "var a" not in text and "Access" not in text and text.startswith("T Spring Meet Apr 21–24, 2025 scm")
+
+
+def test_entities(spark):
+    assert apply_all(spark, markup.unescape, "a&#8211;b &#x27;c&#x27; &eacute; &amp;lt; &nope; &#0; & x", None) == [
+        "a–b 'c' é &lt; &nope; &#0; & x", None]
+
+
+def test_text_of_untidy_pages(spark):
+    assert apply_all(spark, markup.plain_text, "<script>x</script >y<p title='a>b'>t</p><!-- open <b>z",
+                  "a<style>p{}</style>b<script>open") == ["y t", "a b"]
+
+
+def test_links_in_every_quoting(spark):
+    page = "<a href='/x'>1</a><a href=/y>2</a><A HREF = \"/z\">3</a ><a href=\"/open\">no<a class=c href=\"/w\"><b>4</b></a>"
+    assert [tuple(a) for a in apply_all(spark, markup.anchors, page)[0]] == [("/x", "1"), ("/y", "2"), ("/z", "3"), ("/w", "4")]
+
+
+def test_untidy_tables(spark):
+    page = ("<!-- <table><tr><td>c</table> --><table><tr><td>o<table><tr><td>i</table></td></tr></table>"
+            "<table><tr><td>1<tr><td>2</tr></table ><table>")
+    read = lambda c: F.transform(markup.tables(c), markup.rows)
+    assert apply_all(spark, read, page) == [[["<td>i"], ["<td>1", "<td>2"]]]
+
+
+@pytest.mark.parametrize("text, found, day", [
+    ("x Jul 27–Aug 4, 2024 y", "Jul 27–Aug 4, 2024", "2024-07-27"), ("Jul 27 – 28, 2024", "Jul 27 – 28, 2024", "2024-07-27"),
+    ("on 27 July 2024.", "27 July 2024", "2024-07-27"), ("April 21, 2025 LCM", "April 21, 2025", "2025-04-21"),
+    ("no day", None, None)])
+def test_header_dates_are_read_as_race_dates(spark, text, found, day):
+    assert apply_all(spark, dates.first_date_text, text) == [found]
+    assert [d and str(d) for d in apply_all(spark, lambda c: dates.race_date(dates.first_date_text(c)), text)] == [day]
+
+
+def test_a_name_is_no_event(spark):
+    read = lambda c: markup.last_cell(c, markup.EVENT_CELL)
+    assert apply_all(spark, read, "Kim Backman", "1\x1f50 Free\x1fKim Backman") == [None, "50 Free"]
+
+
+@pytest.mark.parametrize("part", ["<a href='/x'>", "<table><tr><td>x", "<script>a", "<!-- a", "<tr><td"])
+def test_broken_pages_take_linear_time(spark, part):
+    def took(size):
+        page = part * (size // len(part))
+        start = time.perf_counter()
+        for fn in (lambda c: F.size(markup.lines(c)), markup.plain_text, lambda c: F.size(markup.anchors(c))):
+            apply_all(spark, fn, page)
+        return time.perf_counter() - start
+
+    took(1000)
+    small = took(100_000)
+    assert took(400_000) < 5 * max(small, 2)

@@ -176,3 +176,29 @@ def test_pending_and_append(spark):
     assert rows(joins.pending(names, done, "name", "d")) == [("Ann",), ("Bob",), ("ann",)]
     both = joins.append([names, spark.createDataFrame([(1,)], "n int")])
     assert both.columns == ["name", "n"] and both.count() == 6
+
+
+def test_null_groups_stay(spark):
+    from laptrace.operators.quantiles import exact_median
+    from laptrace.operators.ranking import shuffled_rank
+
+    df = spark.createDataFrame([(None, 1.0, 1), (None, 3.0, 2), ("a", 5.0, 3), ("a", None, 4)], "g string, v double, k int")
+    for slices in (2, 128):
+        rows = exact_median(df, ["g"], "v", slices=slices).collect()
+        assert sorted(map(tuple, rows), key=repr) == [("a", 5.0), (None, 2.0)]
+    ranked = shuffled_rank(df, ["g"], "k", 1).select("g", "rank", "group_rows").collect()
+    assert sorted(map(tuple, ranked), key=repr) == [("a", 1, 2), ("a", 2, 2), (None, 1, 2), (None, 2, 2)]
+
+
+def test_wide_rows_keep_every_mark(spark):
+    from laptrace.operators import reshape
+
+    rows = [("x", "200mDiving", "LCM", 47, 30.0), ("x", "50mFree", "SCY", 12, 25.0), ("y", "50mFree", "SCY", 12, 26.0)]
+    best = spark.createDataFrame(rows, "name string, event string, course string, age int, time_seconds double")
+    wide = reshape.wide_rows(best)
+    assert wide.selectExpr("sum(size(times))").first()[0] == 3
+    back = reshape.lengthen_rows(wide).select("name", "event", "course", "age", "time_seconds").collect()
+    assert sorted(map(tuple, back)) == sorted(rows)
+    assert "200mDiving_LCM_Age47_FastestTime" in reshape.all_features(best)
+    with pytest.raises(ValueError):
+        reshape.all_features(best, max_features=10)
