@@ -78,7 +78,7 @@ def likelihoods(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
     total = sizes.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
     large = sizes.filter(F.col("docs") >= LEAST_SHARE * total).select("lang")
     known = sorted(r[0] for r in large.collect())  # at most 1 / LEAST_SHARE
-    found = counted.filter("bin >= 0").join(large, "lang").toArrow()  # at most BINS rows for each
+    found = counted.filter("bin >= 0").join(F.broadcast(large), "lang").toArrow()  # at most BINS rows for each
     table = np.full((max(len(known), 1), BINS), 0.5)
     place = {lang: k for k, lang in enumerate(known)}
     rows = np.array([place[x] for x in found["lang"].to_pylist()], np.int64)

@@ -172,7 +172,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     total = sizes.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
     # at most 1 / LEAST_SHARE rows
     large = sizes.filter(F.col("lang").isNotNull() & (F.col("docs") >= LEAST_SHARE * total)).select("lang")
-    each = counted.filter(F.col("kind") != DOC).join(large, "lang")
+    each = counted.filter(F.col("kind") != DOC).join(F.broadcast(large), "lang")
     over = counted.filter(F.col("kind") != DOC).groupBy("kind", "key").agg(F.sum("n").alias("n")).select(
         F.lit(None).cast("string").alias("lang"), "kind", "key", "n")
     found: dict = {None: (np.zeros(CLASSES), [], 0)}
