@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
+# Facts of one key that a task may meet before the key is salted.
+HOT_ROWS = 1_000_000
 
 
 def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -35,13 +37,28 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "lef
     return salted_join(facts, dim, on, how, salts)
 
 
-def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Shuffled join in which each dimension row is repeated once per salt and the facts of a
-    key are spread over the salts by the hash of the whole row, so that no key, however
-    frequent, ends up in one task.  The hash, unlike a random salt, is the same on a retry.
+def salted_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", salts: int = SALTS, *,
+                hot_rows: int = HOT_ROWS, salt_by: list[str] | None = None) -> DataFrame:
+    """Shuffled join that spreads the facts of a hot key over salts.
+
+    Keys are counted first (combined before the shuffle).  Those with more than ``hot_rows`` facts, of
+    which there can only be rows / hot_rows, have their dimension row repeated ``salts`` times and
+    their facts dealt over the salts by a hash, which unlike a random salt is the same on a retry;
+    all other keys are joined as they are.  ``salt_by`` names columns that tell the facts of a key
+    apart, so that the others can be left unread; without it the whole row is hashed.
     """
-    salted = facts.withColumn("__salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-    repeated = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    key = F.struct(*on)
+    hot = facts.groupBy(key.alias("__k")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows).select("__k")
+
+    def marked(side: DataFrame, salt: Column) -> DataFrame:
+        # at most rows / hot_rows keys
+        seen = side.withColumn("__k", key).join(F.broadcast(hot.withColumn("__hot", F.lit(True))), "__k", "left")
+        return seen.withColumn("__salt", salt).drop("__k", "__hot")
+
+    by = F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.lit(salts)).cast("int")
+    salted = marked(facts, F.when(F.col("__hot"), by).otherwise(0))
+    repeated = marked(dim, F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0)))))
     return salted.join(repeated, [*on, "__salt"], how).drop("__salt")
 
 

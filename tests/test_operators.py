@@ -202,3 +202,20 @@ def test_wide_rows_keep_every_mark(spark):
     assert "200mDiving_LCM_Age47_FastestTime" in reshape.all_features(best)
     with pytest.raises(ValueError):
         reshape.all_features(best, max_features=10)
+
+
+def test_only_hot_keys_are_salted(spark):
+    from laptrace.operators.joins import salted_join
+
+    facts = spark.range(300).selectExpr("if(id < 200, 'hot', concat('k', id % 50)) as k", "id", "'same' as other")
+    facts = facts.unionByName(spark.createDataFrame([(None, -1, "same")], facts.schema))
+    dim = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(50)], ("unused", 0)], "k string, v int")
+    for how in ("left", "inner"):
+        plain = facts.join(dim, ["k"], how)
+        for extra in ({}, {"salt_by": ["id"]}):
+            found = salted_join(facts, dim, ["k"], how, 8, hot_rows=100, **extra)
+            assert found.columns == plain.columns
+            assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    wide = spark.range(300).selectExpr("concat('k', id % 50) as k", "id", "concat('o', id) as other")
+    plan = salted_join(wide, dim, ["k"], "left", 8, hot_rows=100, salt_by=["id"]).select("k", "v")
+    assert "other" not in plan._jdf.queryExecution().optimizedPlan().toString()
