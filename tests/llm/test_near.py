@@ -75,8 +75,9 @@ def test_registers_merge_and_estimate():
         assert abs(estimate - share) < 0.15
 
 
+@pytest.mark.parametrize("local", [20, 10 ** 6])
 @pytest.mark.parametrize("kind", ["path", "cycle", "star", "random"])
-def test_components(spark, kind):
+def test_components(spark, kind, local):
     rng, n = random.Random(kind), 300
     if kind == "path":
         edges = [(i, i + 1) for i in range(n)]
@@ -92,5 +93,5 @@ def test_components(spark, kind):
         for a, b in edges:
             low[a] = low[b] = min(low[a], low[b])
     want = {x: c for x, c in low.items() if any(x in e and e[0] != e[1] for e in edges)}
-    found = components(spark.createDataFrame([*edges, (None, 1), (1, 1)], "a long, b long")).collect()
+    found = components(spark.createDataFrame([*edges, (None, 1), (1, 1)], "a long, b long"), local).collect()
     assert {r.node: r.component for r in found} == want and len(found) == len(want)
