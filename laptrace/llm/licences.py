@@ -78,6 +78,17 @@ NAMES = {
     "CC-BY-NC-4.0": ["cc by nc 4 0", "creative commons attribution noncommercial 4 0 international license"],
     "CC-BY-ND-4.0": ["cc by nd 4 0", "creative commons attribution noderivatives 4 0 international license"],
 }
+#: The same sentences as public texts have them, with what a line break or a mark keeps together;
+#: ``scan`` knows them, ``scan_sql`` does not.
+VERBATIM = {
+    "notice:Apache-2.0": ["licensed under the apache license version 2 0 the license"],
+    # in a block of comments no empty line parts the address from what follows
+    "apache-basis": [f"{SENTENCES['apache-copy']} {scheme} www apache org licenses license 2 0 {SENTENCES['apache-basis']}"
+                     for scheme in ("http", "https")],
+    "gpl2-later": ["either version 2 of the license or at your option any later version"],
+    "gpl3-later": ["either version 3 of the license or at your option any later version"],
+    "mpl-copy": [f"{SENTENCES['mpl-copy']} {scheme} mozilla org mpl 2 0" for scheme in ("http", "https")],
+}
 NOTICES = ["licensed under {0}", "licensed under the {0}", "released under the {0}", "released under {0}",
            "distributed under the {0}", "published under the {0}", "available under the {0}",
            "this work is licensed under the {0}", "this work is licensed under {0}",
@@ -99,11 +110,19 @@ RULES = [
     *[(licence, "notice", [f"notice:{licence}"]) for licence in NAMES],
     ("proprietary", "notice", ["rights"]),
 ]
+#: Licences that only rules over sentences name, and that an SPDX tag can name too.
+TAGGED = ["GPL-2.0-or-later", "GPL-3.0-or-later", "Unlicense"]
+TAG_RULES = [(licence, "notice", [f"notice:{licence}"]) for licence in TAGGED]
 #: Every known sentence holds one of these parts of words, so texts without any need no closer look.
 ANCHORS = "licen[sc]|permission|warrant|liab|distribut|released|published|available|software|domain|reserved|mpl"
 
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BOUNDARY, LETTERS = r"([.!?;:])[\t-\r ]+|\n[\t-\r ]*\n", r"[^\p{L}\p{N}]+"
+#: The mark of a version ends no sentence; a tag is a sentence to the end of its line.
+VERSION, TAG = r"\b([vV]\.)[\t-\r ]+(?=[0-9])", r"(?i)\bSPDX-License-Identifier:[\t ]*([^\n\r]*)"
+#: What a tag becomes, and what parts the licences of its expression.
+TAG_WORDS, TAG_PARTS = "spdx license identifier ", r"(?i)[() \t]+(?:or|and)[() \t]+"
+TAG_REST = r"(?i)[ \t]with[ \t].*"
 
 
 def sentences() -> dict[str, str]:
@@ -118,6 +137,16 @@ def sentences() -> dict[str, str]:
     return found
 
 
+def verbatim() -> dict[str, str]:
+    """The same with the sentences of public texts and the tags of all licences."""
+    found = sentences() | {text: name for name, texts in VERBATIM.items() for text in texts}
+    for licence in TAGGED:
+        spdx = re.sub(r"[^a-z0-9]+", " ", licence.lower()).strip()
+        found[f"{TAG_WORDS}{spdx}"] = f"notice:{licence}"
+    assert all(re.search(ANCHORS, text) for text in found)
+    return found
+
+
 def rule_pattern(parts: list[str]) -> str:
     return "".join(rf",{p},(?:.*)" for p in parts).removesuffix("(?:.*)")
 
@@ -126,26 +155,43 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWERED), LETTERS, " "))
 
 
-def known_sentences(text: Column) -> Column:
+def _tagged(sentence: Column) -> Column:
+    """A sentence as an array; a tag as one sentence for each licence of its expression."""
+    stated = F.substring(sentence, F.lit(len(TAG_WORDS) + 1), F.length(sentence))
+    named = F.transform(F.split(stated, TAG_PARTS), lambda x: F.concat(
+        F.lit(TAG_WORDS), F.regexp_replace(x, TAG_REST, "")))
+    return F.when(F.startswith(sentence, F.lit(TAG_WORDS)), named).otherwise(F.array(sentence))
+
+
+def known_sentences(text: Column, tags: bool = False) -> Column:
     """Identifiers of a text's known sentences in order.
 
     Sentences end behind a mark and blanks or at an empty line; a sentence over several lines is
-    looked up as a whole and then line by line.
+    looked up as a whole and then line by line.  With ``tags``, an SPDX tag is looked up before its
+    colon can cut it, each licence of its expression by itself.
     """
+    text = F.regexp_replace(text, VERSION, "$1")
+    if tags:
+        text = F.regexp_replace(text, TAG, f"\x01{TAG_WORDS}$1\x01")
     marked = F.regexp_replace(text, BOUNDARY, "$1\x01")
     whole = F.filter(F.split(marked, "\x01"), lambda s: F.translate(s, UPPER, LOWERED).rlike(ANCHORS))
     with_lines = F.flatten(F.transform(whole, lambda s: F.when(
         F.contains(s, F.lit("\n")), F.concat(F.array(s), F.split(s, "\n"))).otherwise(F.array(s))))
-    table = F.create_map(*[F.lit(x) for pair in sentences().items() for x in pair])
+    if tags:
+        with_lines = F.flatten(F.transform(with_lines, _tagged))
+    table = F.create_map(*[F.lit(x) for pair in verbatim().items() for x in pair])
     return F.filter(F.transform(with_lines, lambda s: F.element_at(table, normalised(s))), lambda i: i.isNotNull())
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tags: bool = False) -> DataFrame:
     """doc_id, n_known, sentence_ids, licences, rules for every row.
 
     ``sentence_ids`` are the known sentences in order; ``licences`` the licences whose rules match, in
     the order of the rules, and ``rules`` the first matching rule of each, all joined by commas.
 
+    With ``tags``, SPDX tags in their standard form ("SPDX-License-Identifier: MIT OR Apache-2.0") count as
+    notices of their licences; without, their colon ends a sentence and they are not found.
+
     Null, empty and unlicensed texts have 0 known sentences and empty strings; ids are passed on as
     they are, nulls and repeats included; other columns are not looked at; an empty table gives an
     empty result.  Row by row, no shuffle.
@@ -154,12 +200,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     possible = F.coalesce(F.translate(value, UPPER, LOWERED).rlike(ANCHORS), F.lit(False))
     none = F.array().cast("array<string>")
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).select(
-        "doc_id", F.when(possible, known_sentences(value)).otherwise(none).alias("ids"))
+        "doc_id", F.when(possible, known_sentences(value, tags)).otherwise(none).alias("ids"))
     # every identifier between commas of its own, so that rules meet whole identifiers
     line = F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit(","), i, F.lit(","))))
     listed = found.withColumn("line", line)
     hits = F.array(*[F.struct(F.lit(licence).alias("licence"), F.lit(name).alias("rule"),
-                              F.col("line").rlike(rule_pattern(parts)).alias("hit")) for licence, name, parts in RULES])
+                              F.col("line").rlike(rule_pattern(parts)).alias("hit")) for licence, name, parts in RULES + TAG_RULES])
     matched = F.filter(hits, lambda r: r["hit"])
     first = F.filter(matched, lambda r, i: ~F.exists(
         F.slice(matched, F.lit(1), i), lambda e: e["licence"] == r["licence"]))

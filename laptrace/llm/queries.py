@@ -135,7 +135,7 @@ def op5_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_licence_sentences", sql=licences.scan_sql())
 def op3_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scan(table(spark, sf_dir, "documents"))
+    return licences.scan(table(spark, sf_dir, "documents"), tags=True)
 
 
 @query("op8_language_fusion")
