@@ -2,7 +2,7 @@
 
 Two histograms are compared with a reference of the document's language by Jensen-Shannon distance:
 shares of character classes, and shares of the language's commonest words among all words.  Short
-documents are not judged by a distance they can't support.
+documents are not judged by a distance they can't support, nor any by a reference of too few words.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ WORDS_GUARD, CHARS_GUARD = 50, 300
 MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE = 0.28, 0.40
 #: A histogram of n words strays by chance; this much divided by the root of n is allowed on top.
 CHANCE = 0.5
-#: Languages with at least this share of the documents, so at most 1000, get a reference of their own.
-LEAST_SHARE = 0.001
+#: A reference of fewer words strays by chance itself and judges no document.
+LEAST_REFERENCE = 2000
 #: Distinct words a task gathers before it passes its counts on.
 GATHERED = 1_000_000
 
@@ -123,8 +123,19 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.where((p.sum(axis=1) > 0) & (q.sum(axis=1) > 0), found, 0.0)
 
 
+def _by_language(langs: list, docs: np.ndarray) -> Iterator[tuple]:
+    """Each language with its texts and with its words, as positions; ``docs`` are the words' texts."""
+    names = {x: k for k, x in enumerate(dict.fromkeys(langs))}
+    code = np.array([names[x] for x in langs], np.int64)
+    texts, words = np.argsort(code, kind="stable"), np.argsort(code[docs], kind="stable")
+    upto = np.arange(len(names) + 1)
+    t, w = np.searchsorted(code[texts], upto), np.searchsorted(code[docs][words], upto)
+    for lang, k in names.items():
+        yield lang, texts[t[k]:t[k + 1]], words[w[k]:w[k + 1]]
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of documents, character classes and bare words for each language."""
+    """Counts of character classes and bare words for each language."""
     def rows(kind: int, counts: dict) -> Iterator[pa.RecordBatch]:
         for lang, (keys, numbers) in counts.items():
             yield pa.RecordBatch.from_arrays(
@@ -136,19 +147,14 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             words = Words(part["text"])
-            langs = np.array(part["lang"].to_pylist(), object)
-            classes, hashes, docs = class_counts(words), bare_hashes(words), words.docs()
-            number, small = {}, {}
-            for lang in {x: None for x in langs}:
-                own = np.array([x == lang for x in langs], bool)
-                number[lang] = (np.zeros(1, np.int64), np.array([own.sum()]))
-                small[lang] = (np.arange(CLASSES), classes[own].sum(axis=0))
-                keys, times = np.unique(hashes[own[docs]], return_counts=True)
+            classes, hashes, small = class_counts(words), bare_hashes(words), {}
+            for lang, texts, mine in _by_language(part["lang"].to_pylist(), words.docs()):
+                small[lang] = (np.arange(CLASSES), classes[texts].sum(axis=0))
+                keys, times = np.unique(hashes[mine], return_counts=True)
                 if lang in held:
                     keys, at = np.unique(np.concatenate([held[lang][0], keys]), return_inverse=True)
                     times = np.bincount(at, weights=np.concatenate([held[lang][1], times])).astype(np.int64)
                 held[lang] = (keys, times)
-            yield from rows(DOC, number)
             yield from rows(CHAR, small)
             if sum(len(k) for k, _ in held.values()) > GATHERED:
                 yield from rows(WORD, held)
@@ -156,64 +162,56 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows(WORD, held)
 
 
-DOC, CHAR, WORD = 0, 1, 2
+CHAR, WORD = 1, 2
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
-    """For each language, and for None over all documents: class counts, and common words with counts.
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """reference_lang_ and reference_ (class counts, common words, their counts, all words) for each language.
 
-    Everything is counted over all documents.  A null language, and one with fewer than LEAST_SHARE of
-    the documents, goes by the reference over all; an empty table gives an empty one.
+    Everything is counted over all documents, whatever their language's share; only null languages and
+    those with fewer than LEAST_REFERENCE words have no reference.  An empty table gives an empty one.
     """
     narrow = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    counted = stored(narrow.mapInArrow(_gather, "lang string, kind int, key long, n long")
+    counted = stored(narrow.filter("lang is not null").mapInArrow(_gather, "lang string, kind int, key long, n long")
                      .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "language_counts")
-    sizes = counted.filter(F.col("kind") == DOC).select("lang", F.col("n").alias("docs"))
-    total = sizes.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
-    # at most 1 / LEAST_SHARE rows
-    large = sizes.filter(F.col("lang").isNotNull() & (F.col("docs") >= LEAST_SHARE * total)).select("lang")
-    each = counted.filter(F.col("kind") != DOC).join(F.broadcast(large), "lang")
-    over = counted.filter(F.col("kind") != DOC).groupBy("kind", "key").agg(F.sum("n").alias("n")).select(
-        F.lit(None).cast("string").alias("lang"), "kind", "key", "n")
-    found: dict = {None: (np.zeros(CLASSES), [], 0)}
-    for part in (each, over):
-        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "key"))
-        common = part.filter(F.col("kind") == WORD).withColumn("place", place).filter(F.col("place") <= COMMON)
-        words = part.filter(F.col("kind") == WORD).groupBy("lang").agg(F.sum("n").alias("n")).select(
-            "lang", F.lit(DOC).alias("kind"), F.lit(0).cast("long").alias("key"), "n")
-        rows = part.filter(F.col("kind") == CHAR).unionAll(common.drop("place").select("lang", "kind", "key", "n"))
-        for row in rows.unionAll(words).collect():
-            classes, top, all_words = found[row["lang"]] if row["lang"] in found else (np.zeros(CLASSES), [], 0)
-            if row["kind"] == CHAR:
-                classes[row["key"]] = row["n"]
-            elif row["kind"] == WORD:
-                top.append((row["key"] % (1 << 64), row["n"]))
-            else:
-                all_words = row["n"]
-            found[row["lang"]] = (classes, top, all_words)
-    return {k: (c, sorted(t), n) for k, (c, t, n) in found.items()}
-
-
-def measured(words: Words, langs: list, known: dict) -> dict[str, np.ndarray]:
-    """Counts, distances and verdicts for a slice of texts."""
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "key"))
+    words = counted.filter(F.col("kind") == WORD)
+    enough = words.groupBy("lang").agg(F.sum("n").alias("words")).filter(F.col("words") >= LEAST_REFERENCE)
+    # COMMON words and CLASSES classes for each language
+    common = words.withColumn("place", place).filter(F.col("place") <= COMMON).drop("place")
+    listed = counted.filter(F.col("kind") == CHAR).unionByName(common).groupBy("lang").agg(*[
+        F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("key", "n")))).alias(name)
+        for kind, name in ((CHAR, "classes"), (WORD, "common"))])
+    return stored(listed.join(enough, "lang").select(
+        F.col("lang").alias("reference_lang_"), F.struct(
+            F.col("classes.n").alias("classes"), F.col("common.key").alias("keys"),
+            F.col("common.n").alias("counts"), "words").alias("reference_")), "references")
+
+
+def _with_references(docs: DataFrame, known: DataFrame, lang: str) -> DataFrame:
+    """The rows with their language's reference, null without one; a short table of references is broadcast."""
+    return docs.join(known, F.col(lang).cast("string") == known["reference_lang_"], "left")
+
+
+def measured(words: Words, langs: list, known: pa.Array) -> dict[str, np.ndarray]:
+    """Counts, distances and verdicts for a slice of texts; ``known`` has each text's reference or null."""
     out = base_counts(words)
     n = out["n_words"]
     classes, hashes, docs = class_counts(words), bare_hashes(words), words.docs()
     far_class, far_words = np.zeros(len(n)), np.zeros(len(n))
-    given = np.array([x if x in known else None for x in langs], object)
-    for lang in {x: None for x in given}:
-        own = np.array([x == lang for x in given], bool)
-        reference, top, total = known[lang]
-        far_class[own] = distance(classes[own].astype(float), reference[None, :])
-        if not top:
+    for _, own, mine in _by_language(langs, docs):
+        reference = known[int(own[0])].as_py()
+        if reference is None:
             continue
-        keys = np.array([k for k, _ in top], np.uint64)
-        share = np.array([c for _, c in top] + [total - sum(c for _, c in top)], float)
-        mine = own[docs]
+        far_class[own] = distance(classes[own].astype(float), np.array(reference["classes"], float)[None, :])
+        keys, counts = np.array(reference["keys"], np.int64).view(np.uint64), np.array(reference["counts"], np.int64)
+        order = np.argsort(keys)
+        keys = keys[order]
+        share = np.append(counts[order], reference["words"] - counts.sum()).astype(float)
         at = np.minimum(np.searchsorted(keys, hashes[mine]), len(keys) - 1)
         bins = np.where(keys[at] == hashes[mine], at, len(keys))
-        cells = np.bincount(docs[mine] * (len(keys) + 1) + bins, minlength=len(n) * (len(keys) + 1))
-        far_words[own] = distance(cells.reshape(len(n), -1)[own].astype(float), share[None, :])
+        cells = np.bincount(np.searchsorted(own, docs[mine]) * len(share) + bins, minlength=len(own) * len(share))
+        far_words[own] = distance(cells.reshape(len(own), -1).astype(float), share[None, :])
     failed = (n < LEAST_WORDS) | (100 * out["n_repeat_words"] > MOST_REPEATED * n)
     strange = (classes.sum(axis=1) >= CHARS_GUARD) & (far_class > MOST_CLASS_DISTANCE)
     strange |= (n >= WORDS_GUARD) & (far_words > MOST_WORD_DISTANCE + CHANCE / np.sqrt(np.maximum(n, 1)))
@@ -227,7 +225,7 @@ TYPES = {"class_distance": pa.float64(), "word_distance": pa.float64(), "base_fa
 
 
 def rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-          known: dict | None = None) -> DataFrame:
+          known: DataFrame | None = None) -> DataFrame:
     """doc_id and the measures of every row, ``kept`` being the verdict.
 
     A document fails the base rules with fewer than 50 words, or more than half of its words in
@@ -235,32 +233,36 @@ def rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     language's reference above the limit, of character classes (from 300 characters on) or of common
     words (from 50 words on, with an allowance for chance).
 
-    Null and empty texts have no words and fail; a null or rare language goes by the reference over
-    all documents; ids are passed on as they are, nulls and repeats included; other columns are not
-    looked at; an empty table gives an empty result.
+    Null and empty texts have no words and fail; documents of a null language, or one with fewer than
+    LEAST_REFERENCE words in all, go by the base rules alone and have distances of 0; ids are passed on
+    as they are, nulls and repeats included; other columns are not looked at; an empty table gives an
+    empty result.
     """
     known = references(docs, text, lang) if known is None else known
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = measured(Words(part["text"]), part["lang"].to_pylist(), known)
+                found = measured(Words(part["text"]), part["lang"].to_pylist(), part["reference_"])
                 columns = [pa.array(v, TYPES.get(k, pa.int64())) for k, v in found.items()]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *columns], names=["doc_id", *found])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
-                       F.col(lang).cast("string").alias("lang")).mapInArrow(run, f"doc_id {kind}, {MEASURES}")
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
+                         F.col(lang).cast("string").alias("lang"))
+    return _with_references(narrow, known, "lang").mapInArrow(run, f"doc_id {kind}, {MEASURES}")
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows, with all their columns, that the rules keep; one pass, no shuffle of texts."""
+    """The rows, with all their columns, that the rules keep; one pass, no shuffle of texts
+    as long as the references are short enough for Spark to broadcast."""
     known = references(docs, text, lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                found = measured(Words(part[text]), part[lang].to_pylist(), known)
-                yield part.filter(pa.array(found["kept"]))
+                found = measured(Words(part[text]), part[lang].to_pylist(), part["reference_"])
+                yield part.select(docs_columns).filter(pa.array(found["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    docs_columns = docs.columns
+    return _with_references(docs, known, lang).mapInArrow(run, docs.schema)

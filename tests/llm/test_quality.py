@@ -69,3 +69,24 @@ def test_short_texts_are_not_judged_by_distance(spark):
     docs = spark.createDataFrame([(1, "%% " * 10, "en"), (2, "a b " * 100, "en")], "doc_id long, text string, lang string")
     rows = {r.doc_id: r for r in quality.rules(docs).collect()}
     assert rows[1].base_failed and rows[2].base_failed
+
+
+def test_verdict_does_not_hang_on_a_languages_share(spark):
+    rng = random.Random(5)
+    latin = ["the", "of", "and", "to", "in"]
+    greek = ["και", "το", "της", "που", "με"]
+    def clean(common, letters, n):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else
+                        "".join(rng.choice(letters) for _ in range(6)) for _ in range(n))
+    many = [(i, clean(latin, "abcdefgh", 60), "en") for i in range(6000)]
+    few = [(10 ** 6 + i, clean(greek, "αβγδεζηθ", 500), "el") for i in range(5)]
+    odd = [(10 ** 6 + 10, clean(greek, "αβγδεζηθ", 150), None), (10 ** 6 + 11, clean(greek, "αβγδεζηθ", 150), "xx")]
+    junk = [(10 ** 6 + 20, clean(latin, "abcdefgh", 150), "el"), (10 ** 6 + 21, clean(greek, "αβγδεζηθ", 150), "en")]
+    docs = spark.createDataFrame(many + few + odd + junk, "doc_id long, text string, lang string")
+    alone = spark.createDataFrame(few + odd + junk[:1], docs.schema)
+    rows = {r.doc_id: r for r in quality.rules(docs).filter(f"doc_id >= {10 ** 6}").collect()}
+    assert all(rows[i].kept for i, *_ in few + odd) and not any(rows[i].kept for i, *_ in junk)
+    assert rows[10 ** 6 + 10].class_distance == rows[10 ** 6 + 11].word_distance == 0
+    want = {r.doc_id: r for r in quality.rules(alone).collect()}
+    assert all(rows[i] == r for i, r in want.items())
+    assert {r.doc_id for r in quality.keep_good(alone).collect()} == {i for i, *_ in few + odd}
