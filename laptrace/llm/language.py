@@ -19,8 +19,8 @@ from laptrace.llm.words import LOWER, Words, mixed, slices
 
 #: Bins that byte trigrams are hashed into.
 BINS = 1 << 14
-#: Languages with at least this share of the labelled documents, so at most 1000, are known.
-LEAST_SHARE = 0.001
+#: Languages whose likelihoods a task spreads out at once.
+BLOCK = 64
 #: Trigrams overlap, so each counts as this much of an independent observation.
 TEMPER = 0.3
 #: Pages of the next level that a prior is worth when a host or domain has few pages.
@@ -66,24 +66,51 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(np.append(counts[some], docs), pa.int64())], names=["lang", "bin", "n"])
 
 
-def likelihoods(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
+class Likelihoods:
+    """Log likelihood of every bin under each language: those of bins it has, and one for all others."""
+
+    def __init__(self, bins: list[np.ndarray], counts: list[np.ndarray]):
+        self.bins, self.logs, self.rest = [b.astype(np.uint16) for b in bins], [], []
+        for n in counts:
+            total = n.sum() + 0.5 * BINS
+            self.logs.append(np.log((n + 0.5) / total))
+            self.rest.append(np.log(0.5 / total))
+        self.step, self.spread = BLOCK, (-1, np.zeros((0, BINS)))
+
+    def block(self, first: int) -> np.ndarray:
+        """The rows of ``step`` languages; the last ones asked for are kept."""
+        if self.spread[0] != first:
+            last = min(first + self.step, len(self.bins))
+            table = np.repeat(np.array(self.rest[first:last])[:, None], BINS, axis=1)
+            for k in range(first, last):
+                table[k - first, self.bins[k]] = self.logs[k]
+            self.spread = first, table
+        return self.spread[1]
+
+    def rows(self) -> Iterator[np.ndarray]:
+        for first in range(0, len(self.bins), self.step):
+            yield from self.block(first)
+
+
+def likelihoods(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], Likelihoods]:
     """Known languages, in order, and the log likelihood of every bin under each.
 
-    All labelled documents count; null languages and those below LEAST_SHARE of the documents are left out.
+    All labelled documents and all their languages count, however few documents one has; only null
+    languages are left out.
     """
     narrow = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     counted = stored(narrow.filter("lang is not null").mapInArrow(_gather, "lang string, bin int, n long")
                      .groupBy("lang", "bin").agg(F.sum("n").alias("n")), "trigrams")
-    sizes = counted.filter("bin = -1").select("lang", F.col("n").alias("docs"))
-    total = sizes.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
-    large = sizes.filter(F.col("docs") >= LEAST_SHARE * total).select("lang")
-    known = sorted(r[0] for r in large.collect())  # at most 1 / LEAST_SHARE
-    found = counted.filter("bin >= 0").join(F.broadcast(large), "lang").toArrow()  # at most BINS rows for each
-    table = np.full((max(len(known), 1), BINS), 0.5)
+    known = sorted(r[0] for r in counted.filter("bin = -1").select("lang").collect())
+    found = counted.filter("bin >= 0").toArrow()  # at most BINS rows for each language
+    names = found["lang"].combine_chunks().dictionary_encode()
     place = {lang: k for k, lang in enumerate(known)}
-    rows = np.array([place[x] for x in found["lang"].to_pylist()], np.int64)
-    np.add.at(table, (rows, np.asarray(found["bin"]).astype(np.int64)), np.asarray(found["n"]))
-    return known, np.log(table / table.sum(axis=1, keepdims=True))
+    places = np.array([place[x] for x in names.dictionary.to_pylist()], np.int64)
+    rows = places[np.asarray(names.indices)] if len(places) else places
+    order = np.argsort(rows, kind="stable")
+    cuts = np.searchsorted(rows[order], np.arange(1, len(known)))
+    bins, counts = np.asarray(found["bin"])[order], np.asarray(found["n"])[order].astype(float)
+    return known, Likelihoods(np.split(bins, cuts), np.split(counts, cuts))
 
 
 def visible(html: Column) -> Column:
@@ -96,13 +123,13 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]+)", 1))
 
 
-def _weigh(count: int, table: np.ndarray):
+def _weigh(table: Likelihoods):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 bins, owner = trigrams(Words(part["text"]))
                 n = part.num_rows
-                logs = np.stack([np.bincount(owner, weights=table[k][bins], minlength=n) for k in range(count)], 1)
+                logs = np.stack([np.bincount(owner, weights=row[bins], minlength=n) for row in table.rows()], 1)
                 seen = np.bincount(owner, minlength=n)
                 best = logs.argmax(axis=1)
                 yield pa.RecordBatch.from_arrays(
@@ -144,30 +171,41 @@ def identify(pages: DataFrame, labelled: DataFrame, page_id: str = "page_id", ur
                              F.lit(None).cast("double").alias("confidence"),
                              F.lit(None).cast("string").alias("text_lang"), "declared", "host",
                              F.lit(0).cast("long").alias("n_trigrams"))
-    seen = stored(narrow.mapInArrow(_weigh(count, table), out), "evidence")
+    seen = stored(narrow.mapInArrow(_weigh(table), out), "evidence")
+
+    # grouped counts of text verdicts: hosts first, all others from those; a row for each language that has some
+    def listed(votes: DataFrame, *keys: str) -> DataFrame:
+        """One array of votes, a place for each language, for every key."""
+        each = votes.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("m"))
+        return each.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.coalesce(
+            F.element_at("m", k), F.lit(0)).cast("double")).alias("votes"))
+
+    def in_all(votes: DataFrame) -> list[float]:
+        found = {r["best"]: float(r["n"]) for r in votes.groupBy("best").agg(F.sum("n").alias("n")).collect()}
+        return [found.get(k, 0.0) for k in range(count)]
 
-    # grouped counts of text verdicts: hosts first, all others from those
-    votes = F.array(*[F.sum(F.when(F.col("best") == k, F.lit(1)).otherwise(F.lit(0))).cast("double")
-                      for k in range(count)])
-    hosts = stored(seen.filter("best >= 0").groupBy("host", "domain").agg(votes.alias("votes")), "hosts")
+    voted = seen.filter("best >= 0")
+    hosts = stored(voted.groupBy("host", "domain", "best").agg(F.count(F.lit(1)).alias("n")), "hosts")
 
     def smoothed(counts: Column, prior: Column) -> Column:
         return F.transform(F.arrays_zip(counts.alias("c"), prior.alias("p")), lambda z: (z["c"] + SMOOTH * z["p"]) / (
             F.aggregate(counts, F.lit(0.0), lambda a, b: a + b) + SMOOTH))
 
     flat = F.array(*[F.lit(1.0 / count)] * count)
-    over = hosts.agg(F.array(*[F.coalesce(F.sum(F.col("votes")[k]), F.lit(0.0)) for k in range(count)])).first()[0]
+    over = in_all(hosts)
     all_pages = [(v + SMOOTH / count) / (sum(over) + SMOOTH) for v in over]
-    domains = hosts.groupBy("domain").agg(F.array(*[F.sum(F.col("votes")[k]) for k in range(count)]).alias("n")).select(
-        "domain", smoothed(F.col("n"), F.array(*map(F.lit, all_pages))).alias("p"))
-    priors = stored(hosts.join(domains, "domain").select("host", F.col("votes"), F.col("p").alias("near")), "priors")
+    domains = listed(hosts.groupBy("domain", "best").agg(F.sum("n").alias("n")), "domain").select(
+        "domain", smoothed(F.col("votes"), F.array(*map(F.lit, all_pages))).alias("p"))
+    priors = stored(listed(hosts, "host", "domain").join(domains, "domain").select(
+        "host", F.col("votes"), F.col("p").alias("near")), "priors")
 
     # how often each language is declared, and each suffix used, under the language of the text
     def conditional(name: str) -> DataFrame:
-        counts = seen.filter(F.col("best") >= 0).filter(F.col(name).isNotNull()).groupBy(name).agg(votes.alias("n"))
-        total = counts.agg(F.array(*[F.coalesce(F.sum(F.col("n")[k]), F.lit(0.0)) for k in range(count)])).first()[0]
-        return counts.select(name, F.transform("n", lambda x, k: (x + 0.5) / (
-            F.element_at(F.array(*map(F.lit, total)), (k + 1).cast("int")) + 0.5 * F.lit(count))).alias(f"{name}_like"))
+        counts = stored(voted.filter(F.col(name).isNotNull()).groupBy(name, "best").agg(
+            F.count(F.lit(1)).alias("n")), f"{name}_counts")
+        total = F.array(*map(F.lit, in_all(counts)))
+        return listed(counts, name).select(name, F.transform("votes", lambda x, k: (x + 0.5) / (
+            F.element_at(total, (k + 1).cast("int")) + 0.5 * F.lit(count))).alias(f"{name}_like"))
 
     one = F.array(*[F.lit(1.0)] * count)
     joined = seen.join(conditional("declared"), "declared", "left").join(conditional("suffix"), "suffix", "left")

@@ -51,3 +51,26 @@ def test_empty(spark, labelled):
     assert language.identify(none, labelled).count() == 0
     one = spark.createDataFrame([(1, "https://a.b/", "<p>the")], none.schema)
     assert language.identify(one, labelled.limit(0)).first().lang is None
+
+
+def test_rare_language_is_known(spark, labelled):
+    """Three Danish documents among thousands are fewer than a thousandth."""
+    text = "det er ikke så let at være gæst på øen når året går på hæld og håbet svinder " * 8
+    rare = spark.createDataFrame([(f"{k} {text}", "da") for k in range(3)], "text string, lang string")
+    many = labelled.select("text", "lang").crossJoin(spark.range(4)).drop("id").unionAll(rare)
+    pages = spark.createDataFrame([(1, "https://x.dk/", f'<html lang="da"><p>{text}')],
+                                  "page_id long, url string, html string")
+    found = language.identify(pages, many).first()
+    assert (found.lang, found.text_lang, found.declared) == ("da", "da", "da")
+
+
+def test_languages_in_blocks(spark, labelled, monkeypatch):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").limit(50)
+    before = sorted(map(repr, language.identify(pages, labelled).collect()))
+    whole = list(language.likelihoods(labelled)[1].rows())
+    monkeypatch.setattr(language, "BLOCK", 3)
+    table = language.likelihoods(labelled)[1]
+    assert table.step == 3 and [len(table.block(k)) for k in (0, 3)] == [3, 1]
+    assert (language.np.array(list(table.rows())) == language.np.array(whole)).all()
+    assert sorted(map(repr, language.identify(pages, labelled).collect())) == before
+    assert abs(float(sum(map(sum, language.np.exp(whole)))) - 4) < 1e-6
