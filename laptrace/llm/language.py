@@ -115,8 +115,18 @@ def likelihoods(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
 
 def visible(html: Column) -> Column:
     """A page's text: without scripts, styles, comments, tags and entities."""
-    hidden = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(html, hidden, " "), r"<[^>]*>", " "), r"&#?\w+;", " ")
+    return F.regexp_replace(F.regexp_replace(shown(html), r"<[^>]*>", " "), r"&#?\w+;", " ")
+
+
+def shown(html: Column) -> Column:
+    """A page without scripts, styles and comments."""
+    return F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", " ")
+
+
+def declared_in(html: Column) -> Column:
+    """The language that the first <html> tag with one declares, wherever it is; null without."""
+    tags = F.concat_ws(">", F.regexp_extract_all(shown(html), F.lit(r"(?i)<html\b[^>]*"), F.lit(0)))
+    return F.nullif(F.lower(F.regexp_extract(tags, r"(?i)\blang\s*=\s*[\"']?([a-z]+)", 1)), F.lit(""))
 
 
 def host_of(url: Column) -> Column:
@@ -160,8 +170,7 @@ def identify(pages: DataFrame, labelled: DataFrame, page_id: str = "page_id", ur
         F.col(page_id).alias("page_id"), host.alias("host"), F.col(html).cast("string").alias("html")).select(
         "page_id", "host", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("domain"),
         F.regexp_extract("host", r"([^.]+)$", 1).alias("suffix"),
-        F.nullif(F.lower(F.regexp_extract("html", r"(?is)^.{0,2000}?<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)", 1)),
-                 F.lit("")).alias("declared"),
+        declared_in(F.col("html")).alias("declared"),
         F.coalesce(visible(F.col("html")), F.lit("")).alias("text"))
     kind = pages.schema[page_id].dataType.simpleString()
     out = f"page_id {kind}, host string, domain string, suffix string, declared string, n_trigrams long, " \

@@ -74,3 +74,12 @@ def test_languages_in_blocks(spark, labelled, monkeypatch):
     assert (language.np.array(list(table.rows())) == language.np.array(whole)).all()
     assert sorted(map(repr, language.identify(pages, labelled).collect())) == before
     assert abs(float(sum(map(sum, language.np.exp(whole)))) - 4) < 1e-6
+
+
+def test_declared_language_is_found_anywhere(spark):
+    pages = ["<!-- " + "x" * 5000 + ' <html lang="de"> --><html class="a" lang="da">', " " * 3000 + "<HTML LANG=da>",
+             "<script>'<html lang=\"de\">'</script >" + "\n" * 3000 + "<html\nlang='da'>",
+             "<html" * 200000 + ' lang="da">', "<p>", None, "<html><p lang='de'>"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(pages)], "i int, html string")
+    rows = docs.select("i", language.declared_in(F.col("html")).alias("d")).orderBy("i").collect()
+    assert [r.d for r in rows] == ["da"] * 4 + [None] * 3
