@@ -73,3 +73,18 @@ def test_ingest_reads_each_file_once(spark, tmp_path):
     ingest(spark, str(source), target, mark)
     out = sorted((r["name"], r["event"], str(r["race_day"]), r["time_seconds"]) for r in spark.read.parquet(target).collect())
     assert out == [("a", "50mFree", "2020-04-01", 25.5), ("b", "50mFly", "2020-04-02", 26.5)]
+
+
+def test_registered_search_tries_every_draw(spark, train, monkeypatch):
+    from laptrace.plans import model_queries
+
+    tried = []
+    monkeypatch.setattr(model_queries, "prepared", lambda *_: model_queries.T.Prepared(train, None, []))
+    monkeypatch.setattr(model_queries, "weighted_train", lambda _, matrix: matrix)
+    monkeypatch.setattr(search, "search", lambda _, candidates: tried.extend(candidates))
+    monkeypatch.setattr(search, "results", lambda *_: None)
+    model_queries.search_forest(spark, "")
+    assert tried == search.draws() and len(tried) == 50
+    for candidate in tried:
+        params = {k: v for k, v in candidate.items() if k != "weighted"}
+        forest.classifier(**params)._transfer_params_to_java()
