@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from laptrace.llm import balance, bilinear, bpe, covertree, language, licences, near, quality, repeats, wavelet
+from laptrace.llm import (
+    balance, bilinear, bpe, covertree, interactions, language, licences, merkle, near, pigeonhole, quality, repeats,
+    wavelet,
+)
 from laptrace.llm.registry import QUERIES, SQL, query
 from laptrace.llm.tables import table
 from laptrace.session import fresh_path
@@ -141,3 +144,40 @@ def op3_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_fusion")
 def op8_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@query("op11_filter_orders", sql=interactions.audit_sql())
+def op11_filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_merkle_versions", sql=merkle.manifest_sql())
+def op12_merkle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    manifest = merkle.Manifest(table(spark, sf_dir, "documents"), tampered, merkle.lower_cased(F.col("text")))
+    return manifest.rows().select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query("op13_pigeonhole_near_dedup", sql="""
+with recursive points as (
+    select vec_id, label, embedding::double[] as v from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), sides as (
+    select x.vec_id as a, y.vec_id as b from points x join points y
+    on x.label = y.label and x.vec_id <> y.vec_id and len(x.v) = len(y.v) and list_cosine_similarity(x.v, y.v) >= 0.98
+), reach(node, seen) as (
+    select a, b from sides
+    union select r.node, s.b from reach r join sides s on r.seen = s.a
+), low as (
+    select node, min(seen) as low from reach group by node
+), links as (
+    select a, count(*) as n from sides group by a
+)
+select e.vec_id, coalesce(l.n, 0)::bigint as n_links, least(e.vec_id, coalesce(r.low, e.vec_id)) as component_id,
+       e.vec_id = least(e.vec_id, coalesce(r.low, e.vec_id)) as kept
+from embeddings e left join links l on e.vec_id = l.a left join low r on e.vec_id = r.node
+""")
+def op13_pigeonhole_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pigeonhole.near_copies(table(spark, sf_dir, "embeddings"), threshold=0.98)

@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "labels", "pages"):
         con.sql(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     found = QUERIES[name](spark, SF_DIR)
     want = con.sql(SQL[name])
@@ -28,7 +28,7 @@ def test_same_rows_as_sql(spark, name):
 def test_one_query_for_each_operator():
     entry = importlib.import_module("__spark_entry__")
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in entry.queries() if re.match(r"op\d+_", n))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_pipeline(spark):
