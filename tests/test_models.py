@@ -1,10 +1,11 @@
 """Training, search, scoring, sources and incremental ingest on small data."""
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from laptrace.ml import forest, search, store
+from laptrace.ml import forest, search, shared_search, store
 from laptrace.session import fresh_path
 from laptrace.sources import records, synthetic, tables
 from laptrace.vocab import SEARCH_SPACE
@@ -75,16 +76,94 @@ def test_ingest_reads_each_file_once(spark, tmp_path):
     assert out == [("a", "50mFree", "2020-04-01", 25.5), ("b", "50mFly", "2020-04-02", 26.5)]
 
 
-def test_registered_search_tries_every_draw(spark, train, monkeypatch):
+def rows_of(rng, n, classes=3, features=6):
+    """Codes that tell the class apart only together with noise."""
+    y = rng.integers(0, classes, n)
+    codes = rng.integers(0, 20, (n, features)).astype(np.uint8)
+    codes[:, 0] = y * 5 + rng.integers(0, 7, n)
+    return codes, y
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_best_splits_by_brute_force(least):
+    rng = np.random.default_rng(least)
+    codes, y = rows_of(rng, 40)
+    weight = np.array([1.0, 2.5, 0.5])
+    sizes = np.array([30, 17, 2, 9])
+    rows = np.zeros((4, 30), np.int64)
+    for k, n in enumerate(sizes):
+        rows[k, :n] = rng.integers(0, 40, n)
+    features = np.stack([rng.permutation(6)[:4] for _ in sizes])
+
+    def squares(own):
+        shares = np.bincount(y[own], minlength=3) * weight
+        return (shares ** 2).sum() / shares.sum() if len(own) else 0.0
+
+    gain, feature, cut = shared_search.best_splits(codes, y, weight, rows, sizes, features, least)
+    for k, n in enumerate(sizes):
+        own, best = rows[k, :n], -np.inf
+        for f in features[k]:
+            for c in np.unique(codes[own, f])[:-1]:
+                left, right = own[codes[own, f] <= c], own[codes[own, f] > c]
+                if min(len(left), len(right)) >= least:
+                    best = max(best, squares(left) + squares(right) - squares(own))
+        if best <= 1e-5 * weight[y[own]].sum():
+            assert gain[k] == -np.inf
+        else:
+            left, right = own[codes[own, feature[k]] <= cut[k]], own[codes[own, feature[k]] > cut[k]]
+            assert min(len(left), len(right)) >= least and feature[k] in features[k]
+            assert abs(gain[k] - best) < 1e-4 and abs(squares(left) + squares(right) - squares(own) - best) < 1e-4
+
+
+@pytest.mark.parametrize("strategy", ["sqrt", "all"])
+def test_smaller_forests_are_parts_of_larger_ones(strategy):
+    codes, y = rows_of(np.random.default_rng(3), 120)
+    forest_ = {"minInstancesPerNode": 1, "featureSubsetStrategy": strategy, "bootstrap": True, "numTrees": 6, "maxDepth": 30}
+    weight = np.ones(3)
+    large = shared_search.grow(codes, y, weight, forest_, list(range(6)), 42)
+    again = shared_search.grow(codes, y, weight, forest_, [4], 42)[0]
+    assert all(np.array_equal(large[4][k], again[k]) for k in again)
+
+    def packed(trees):
+        return [{"tree": t["tree"], "feature": np.asarray(t["feature"], "<i4").tobytes(), "cut": np.asarray(t["cut"], "<i2").tobytes(),
+                 "below": np.asarray(t["below"], "<i4").tobytes(), "shares": np.asarray(t["shares"], "<f4").tobytes()} for t in trees]
+
+    cut = shared_search.votes(codes, packed(large), [0, 2, 30])
+    for depth in (0, 2):
+        shallow = shared_search.grow(codes, y, weight, {**forest_, "maxDepth": depth}, list(range(6)), 42)
+        assert np.array_equal(shared_search.votes(codes, packed(shallow), [30])[30], cut[depth])
+    share = np.bincount(y, minlength=3) / 120
+    assert np.allclose(cut[0][0].mean(axis=0), share, atol=0.15)
+    assert (cut[30].sum(axis=1).argmax(axis=1) == y).mean() > 0.95
+    assert np.allclose(cut[30].sum(axis=2), 1)
+
+
+def test_shared_search(spark, train):
+    """Each draw alone scores what it scores beside the others, and the better draws win."""
+    indexed = forest.index_labels(train).transform(train)
+    base = {"minInstancesPerNode": 1, "featureSubsetStrategy": "all", "weighted": True, "bootstrap": True}
+    candidates = [base | {"numTrees": 100, "maxDepth": 5}, base | {"numTrees": 200, "maxDepth": 30},
+                  base | {"numTrees": 100, "maxDepth": 0}, base | {"numTrees": 100, "maxDepth": 5, "bootstrap": False}]
+    assert [f["numTrees"] for f in shared_search.forests(candidates)] == [200, 1]
+    found = shared_search.search(indexed, candidates, 3, 5).orderBy("candidate").collect()
+    assert [r["macro_f1"] for r in found] == [1.0, 1.0, found[2]["macro_f1"], 1.0] and found[2]["macro_f1"] < 0.5
+    assert [r["is_best"] for r in found] == [1, 0, 0, 0]
+    alone = shared_search.search(indexed, candidates[2:3], 3, 5).first()
+    assert alone["macro_f1"] == found[2]["macro_f1"] and alone["params"] == found[2]["params"]
+
+
+def test_registered_search_tries_every_draw(spark, monkeypatch):
     from laptrace.plans import model_queries
 
-    tried = []
-    monkeypatch.setattr(model_queries, "prepared", lambda *_: model_queries.T.Prepared(train, None, []))
-    monkeypatch.setattr(model_queries, "weighted_train", lambda _, matrix: matrix)
-    monkeypatch.setattr(search, "search", lambda _, candidates: tried.extend(candidates))
-    monkeypatch.setattr(search, "results", lambda *_: None)
-    model_queries.search_forest(spark, "")
-    assert tried == search.draws() and len(tried) == 50
-    for candidate in tried:
-        params = {k: v for k, v in candidate.items() if k != "weighted"}
-        forest.classifier(**params)._transfer_params_to_java()
+    data = spark.range(60).select(
+        F.col("id").cast("string").alias("name"), F.lit("train").alias("split"), (F.col("id") % 5).cast("int").alias("fold"),
+        array_to_vector(F.array((F.col("id") % 3).cast("double"), (F.col("id") % 7).cast("double"))).alias("features"),
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int")).alias("label"))
+    matrix = tables.materialise(data, fresh_path(spark, "matrix"))
+    monkeypatch.setattr(model_queries, "prepared", lambda *_: model_queries.T.Prepared(matrix, None, []))
+    found = model_queries.search_forest(spark, "").collect()
+    assert sorted(r["params"] for r in found) == sorted(shared_search.params_text(c) for c in search.draws())
+    assert len(found) == 50 and sum(r["is_best"] for r in found) == 1
+    assert max(r["macro_f1"] for r in found) == next(r["macro_f1"] for r in found if r["is_best"])
+    for candidate in search.draws():
+        forest.classifier(**{k: v for k, v in candidate.items() if k != "weighted"})._transfer_params_to_java()
