@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from laptrace.functions import events, marks
 from laptrace.functions.lookups import by_age
-from laptrace.operators import impute, labels, metrics, races, reshape, scoring, splits
+from laptrace.operators import chain, impute, labels, metrics, races, reshape, scoring, splits
 from laptrace.plans import oracle as O
 from laptrace.plans import training as T
 from laptrace.plans import views as V
 from laptrace.plans.athlete_queries import BMI, SEX
-from laptrace.plans.race_queries import VOCABULARY
+from laptrace.plans.race_queries import VOCABULARY, grid
 from laptrace.plans.registry import query
 from laptrace.plans.source_queries import ORDER_SPLIT, SUMMARY, labels_cells
 from laptrace.session import fresh_path
@@ -169,17 +169,91 @@ BASELINE_SQL = f"""coalesce({O.case(BASELINE_SECONDS, "event")},
 BASELINE_FACTOR_SQL = f"coalesce({O.case({10 + i: v for i, v in enumerate(BASELINE_FACTORS)}, 'age')}, 1.20::double)"
 
 
-def empty_features(spark, sf_dir):
-    best = V.best_marks(spark, sf_dir)
-    return reshape.vocabulary(best)
+SPLIT_NAMES = f"""
+common as (select label from labelled group by label having count(*) >= 2),
+ranked as (
+  select name, label, row_number() over (partition by label order by md5(name || '|42'), name) as r,
+    count(*) over (partition by label) as n from labelled where label in (select label from common)
+),
+assigned as (select name, label, case when r <= floor(n * 0.2) then 'test' else 'train' end as split,
+  cast(r % 5 as integer) as fold from ranked)"""
+
+# Marks with their split, features by split, and every value there is or that is estimated.
+CHAIN = f"""
+marked as (select b.*, split from best b join assigned using (name)),
+kept as (
+  select event, course, age, {O.feature()} as feature from (
+    select event, course, age, count(*) filter (where split = 'train') as n_train from marked group by all
+    union all select event, course, age, 0 from {grid("10, 19")}) group by all
+  having sum(n_train) > 0 or age between 10 and 18
+),
+best_adults as (
+  select name, split, event, course, min(time_seconds) as best_adult from marked where age between 20 and 49 group by all
+),
+known as (
+  select m.name, m.split, k.feature, m.time_seconds as value, 0 as estimated
+  from marked m join kept k on k.event = m.event and k.course = m.course and k.age = m.age
+  union all
+  select a.name, a.split, k.feature, best_adult * coalesce(
+    {O.case({10 + i: v for i, v in enumerate(PROGRESSION_FACTORS)}, "k.age")}, {PROGRESSION_DEFAULT}::double), 1
+  from best_adults a join kept k on k.event = a.event and k.course = a.course and k.age between 10 and 18
+  left join marked m on m.name = a.name and m.event = a.event and m.course = a.course and m.age = k.age
+  where m.name is null
+)"""
+BODY_CELLS = f"""
+body_cells as (
+  select name, split, feature, value, 0 as estimated from (
+    select name, split, unnest(['Height_cm', 'Weight_kg', 'BMI', 'Sex_encoded']) as feature,
+      unnest([height_cm, weight_kg, {BMI}, {SEX}]::double[]) as value
+    from athletes join assigned using (name)) where value is not null
+),
+cells as (select * from known union all select * from body_cells)"""
+FILLS = f"""
+fills as (
+  select coalesce(m.feature, k.feature) as feature, case when median is not null then 'median' else 'baseline' end as source,
+    coalesce(median, {BASELINE_SQL} * {BASELINE_FACTOR_SQL}) as fill
+  from (select feature, median(value) as median from cells where split = 'train' group by feature) m
+  full join (select * from kept where age between 10 and 18) k on k.feature = m.feature
+)"""
+
 
+def imputation(spark, sf_dir):
+    """The whole chain, fitted on the training athletes."""
+    people, best = V.athletes(spark, sf_dir), V.stored_best_marks(spark, sf_dir)
+    assigned = materialise(T.assign_splits(people, best), fresh_path(spark, "split"))
+    return chain.fit(best, T.body_values(people), assigned)
 
-@query("baseline_fill__k4", f"""with {O.BEST_CTES}, {VOCABULARY}
-  select {O.feature()} as feature, round({BASELINE_SQL} * {BASELINE_FACTOR_SQL}, 6) as fill
-  from vocabulary where n_observed = 0 and age between 10 and 18""")
+
+@query("baseline_fill__k4", f"""with {O.BEST_CTES}, {TOP}, {SPLIT_NAMES}, {CHAIN}
+  select feature, round({BASELINE_SQL} * {BASELINE_FACTOR_SQL}, 6) as fill from kept k
+  where age between 10 and 18 and not exists (select 1 from known n where n.feature = k.feature and split = 'train')""")
 def baseline_fill(spark, sf_dir):
-    """Fill values of youth features nobody has a mark for."""
-    return impute.baseline(empty_features(spark, sf_dir)).select("feature", F.round("fill", 6).alias("fill"))
+    """Fill values of youth features for which no training athlete has a mark or an estimate."""
+    return imputation(spark, sf_dir).fills.where("source = 'baseline'").select("feature", F.round("fill", 6).alias("fill"))
+
+
+@query("imputation_chain__k5", f"""with {O.BEST_CTES}, {TOP}, {SPLIT_NAMES}, {CHAIN}, {BODY_CELLS}, {FILLS},
+  counted as (select feature, split, count(*) filter (where estimated = 0) as n_own,
+    count(*) filter (where estimated = 1) as n_estimated, sum(cast(round(value * 1000000) as bigint)) as known from cells group by feature, split),
+  rows_of as (select split, count(*) as n_rows from assigned group by split)
+  select feature, split, coalesce(n_own, 0) as n_own, coalesce(n_estimated, 0) as n_estimated,
+    n_rows - coalesce(n_own, 0) - coalesce(n_estimated, 0) as n_filled, source, round(fill, 6) as fill,
+    (coalesce(known, 0) + (n_rows - coalesce(n_own, 0) - coalesce(n_estimated, 0)) * cast(round(fill * 1000000) as bigint))
+      / 1000000::double as total
+  from fills cross join rows_of left join counted using (feature, split)""")
+def imputation_chain(spark, sf_dir):
+    """Every time and body column of both splits after imputation: where its cells come from, its fill and its sum."""
+    return chain.profile(imputation(spark, sf_dir)).withColumn("fill", F.round("fill", 6))
+
+
+@query("imputation_chain__k5_rows", f"""with {O.BEST_CTES}, {TOP}, {SPLIT_NAMES}, {CHAIN}, {BODY_CELLS}, {FILLS}
+  select a.name, a.split, count(c.value) filter (where estimated = 0) as n_own,
+    count(c.value) filter (where estimated = 1) as n_estimated, count(*) - count(c.value) as n_filled,
+    sum(cast(round(coalesce(c.value, fill) * 1000000) as bigint)) / 1000000::double as total
+  from assigned a cross join fills f left join cells c on c.name = a.name and c.feature = f.feature group by a.name, a.split""")
+def imputed_rows(spark, sf_dir):
+    """Every athlete's row after imputation: its own, estimated and filled cells and their sum."""
+    return chain.filled_rows(imputation(spark, sf_dir))
 
 
 @query("baseline_fill__d6", f"""with {O.BEST_CTES}
@@ -195,21 +269,11 @@ def baselines(spark, sf_dir):
         from vocabulary where n_observed = 0 and age between 10 and 18)
   select feature, round(fill * (0.97::double + {O.uniform("feature", "42")} * 0.06::double), 6) as fill from f""")
 def jittered_fill(spark, sf_dir):
-    """The same with the opt-in jitter of 3 %, drawn from a hash of the feature."""
-    filled = impute.baseline(empty_features(spark, sf_dir), seed=42)
+    """Baselines of youth features nobody has a mark for, with the opt-in jitter of 3 %, drawn from a hash of the feature."""
+    filled = impute.baseline(reshape.vocabulary(V.best_marks(spark, sf_dir)), seed=42)
     return filled.select("feature", F.round("fill", 6).alias("fill"))
 
 
-SPLIT_NAMES = f"""
-common as (select label from labelled group by label having count(*) >= 2),
-ranked as (
-  select name, label, row_number() over (partition by label order by md5(name || '|42'), name) as r,
-    count(*) over (partition by label) as n from labelled where label in (select label from common)
-),
-assigned as (select name, label, case when r <= floor(n * 0.2) then 'test' else 'train' end as split,
-  cast(r % 5 as integer) as fold from ranked)"""
-
-
 @query("median_impute__e7", f"""with {O.BEST_CTES}, {TOP}, {SPLIT_NAMES}
   select {O.feature()} as feature, round(median(time_seconds), 6) as median
   from best join assigned using (name) where split = 'train' group by 1""")
