@@ -120,9 +120,10 @@ def repeated(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id") -> DataF
     """The rows of ``docs``, each as often as the mix takes it.
 
     Ids are expected to be unique and are compared null-safe; rows that share an id are taken as often
-    as the largest number of copies any of them has.
+    as the largest number of copies any of them has.  Columns may have any name; an empty table stays empty.
     """
     copies = mixed.groupBy(F.col("doc_id").alias("mix_id_")).agg(F.max("copies").alias("mix_copies_"))
-    joined = docs.join(copies, F.col(doc_id).eqNullSafe(F.col("mix_id_"))).filter("mix_copies_ > 0")
-    return joined.withColumn("mix_copies_", F.explode(F.sequence(F.lit(1), F.col("mix_copies_")))).select(
-        *[docs[c] for c in docs.columns])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = whole.join(copies, F.col("row")[doc_id].eqNullSafe(F.col("mix_id_"))).filter("mix_copies_ > 0")
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies_")))).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns])

@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from laptrace.llm.tables import giving_back
 from laptrace.llm.words import LOWER, SPACE, VALUES, Words, slices, span_hashes
 
 #: A cut follows one byte in 2**CUT_BITS.
 CUT_BITS = 2
-#: Distinct chunks a worker keeps.
-STORE_CHUNKS = 3_000_000
+#: Distinct chunks a task keeps, and the bytes they may take.
+STORE_CHUNKS, STORE_BYTES = 3_000_000, 64 << 20
 
 ALNUM = np.zeros(256, bool)
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = True
@@ -102,6 +103,10 @@ class Store:
         self.at, self.size, self.ids, self.used, self.count = (
             np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, np.uint32), 0, 0)
 
+    @property
+    def nbytes(self) -> int:
+        return sum(a.nbytes for a in (self.keys, self.slot, self.at, self.size, self.ids))
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The slot of each key, -1 where there is none."""
         if not len(self.keys):
@@ -162,7 +167,7 @@ class Codec:
         words.buf = folded(words.buf)
         starts = chunk_starts(words, bits) if bits else piece_starts(words)
         store = self.stores.setdefault(bits, Store())
-        if store.count > STORE_CHUNKS:
+        if store.count > STORE_CHUNKS or store.nbytes > STORE_BYTES:
             store.clear()
         hashes = span_hashes(words.buf, starts, VALUES)
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
@@ -237,6 +242,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(model.value)
+        codec.stores.clear()  # a worker outlives its tasks
         for batch in batches:
             for part in slices(batch):
                 column = pc.fill_null(part["text"], "")
@@ -244,5 +250,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 each = [ids[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 made = [pa.array([OUTPUTS[o][2](codec, x) for x in each], OUTPUTS[o][1]) for o in outputs]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *made], names=["doc_id", *outputs])
+        codec.stores.clear()
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
+        giving_back(run), schema)

@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from laptrace.llm.tables import partitions
 
 
-def chunked(docs: DataFrame, *key: str) -> tuple[DataFrame, int]:
+def chunked(docs: DataFrame, *key: str, mb_each: int = 16, measured: bool = False) -> tuple[DataFrame, int]:
     """Adds ``chunk`` by the hash of the key columns and deals rows by it; also the number of partitions.
 
-    There are as many chunks as partitions.  Spark runs the shuffle once for all uses in one query.
+    There are as many chunks as partitions, of about ``mb_each`` MB of files or, if ``measured``, of text.  Spark runs the shuffle once for all uses in one query.
     """
-    parts = partitions(docs)
+    parts = partitions(docs, mb_each, measured)
     chunk = F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
     return docs.withColumn("chunk", chunk).repartition(parts, "chunk"), parts
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from laptrace.llm import setsketch
 from laptrace.llm.components import components
-from laptrace.llm.tables import stored
+from laptrace.llm.tables import giving_back, stored
 from laptrace.llm.words import Words, mixed, pair_hash, slices
 
 #: Six standard deviations of the estimate at a similarity of 0.8: true links stay candidates.
@@ -66,7 +66,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     [part["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                      pa.array(regs, pa.binary())], names=["doc_id", "n_shingles", "digest", "registers"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, registers binary")
+    return docs.mapInArrow(giving_back(run), "doc_id long, n_shingles long, digest binary, registers binary")
 
 
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +137,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                         & (F.col("k.doc_id") == F.col("c.rep")))
                   .select("doc_id", "n_shingles", "registers").distinct(), "reps")
 
-    rows = reps.select("doc_id", "n_shingles", "registers").mapInArrow(_band_rows, "key long, rep long, size long")
+    rows = reps.select("doc_id", "n_shingles", "registers").mapInArrow(giving_back(_band_rows), "key long, rep long, size long")
     pivots = rows.groupBy("key").agg(F.min(F.struct("rep", "size")).alias("p"), F.count("*").alias("n")).filter("n > 1")
     members = stored(rows.join(pivots, "key").select("key", "rep", "size", F.col("p.rep").alias("pivot"),
                                                      F.col("p.size").alias("pivot_size")), "members")
@@ -194,7 +194,7 @@ def _confirm(narrow: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, p
     sides = texts.groupBy("a", "b").agg(
         F.max(F.when(F.col("doc_id") == F.col("a"), F.col("text"))).alias("text_a"),
         F.max(F.when(F.col("doc_id") == F.col("b"), F.col("text"))).alias("text_b"))
-    return stored(sides.mapInArrow(_verified(width, percent), "a long, b long"), "confirmed")
+    return stored(sides.mapInArrow(giving_back(_verified(width, percent)), "a long, b long"), "confirmed")
 
 
 #: Ids that a broadcast may hold (16 MB); more are met by a shuffle of the texts.

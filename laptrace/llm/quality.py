@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from laptrace.llm.tables import stored
+from laptrace.llm.tables import giving_back, stored
 from laptrace.llm.words import LOWER, SPACE, VALUES, WORD_VALUES, Words, pair_hash, slices, span_hashes
 
 #: Fixed values of the base rules.
@@ -172,7 +172,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     those with fewer than LEAST_REFERENCE words have no reference.  An empty table gives an empty one.
     """
     narrow = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    counted = stored(narrow.filter("lang is not null").mapInArrow(_gather, "lang string, kind int, key long, n long")
+    counted = stored(narrow.filter("lang is not null").mapInArrow(giving_back(_gather), "lang string, kind int, key long, n long")
                      .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "language_counts")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "key"))
     words = counted.filter(F.col("kind") == WORD)
@@ -250,19 +250,31 @@ def rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     kind = docs.schema[doc_id].dataType.simpleString()
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
                          F.col(lang).cast("string").alias("lang"))
-    return _with_references(narrow, known, "lang").mapInArrow(run, f"doc_id {kind}, {MEASURES}")
+    return _with_references(narrow, known, "lang").mapInArrow(
+        giving_back(run), f"doc_id {kind}, {MEASURES}")
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows, with all their columns, that the rules keep; one pass, no shuffle of texts
-    as long as the references are short enough for Spark to broadcast."""
+    as long as the references are short enough for Spark to broadcast.
+
+    Null and empty texts go, as in :func:`rules`; null languages are judged by the base rules alone; of repeated rows
+    each is judged; an empty table stays empty.  Columns may have any name.
+    """
     known = references(docs, text, lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
-                found = measured(Words(part[text]), part[lang].to_pylist(), part["reference_"])
-                yield part.select(docs_columns).filter(pa.array(found["kept"]))
-
-    docs_columns = docs.columns
-    return _with_references(docs, known, lang).mapInArrow(run, docs.schema)
+            for part in slices(batch, "text"):
+                found = measured(Words(part["text"]), part["lang"].to_pylist(), part["reference_"])
+                rest = part["row"].filter(pa.array(found["kept"]))
+                own = [rest.field(k) if k != at else part["text"].filter(pa.array(found["kept"])).cast(rest.type.field(k).type)
+                       for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays(own, names=names)
+
+    names, at = docs.columns, docs.columns.index(text)
+    # the row travels as a struct, its text beside it
+    row = F.struct(*[F.lit(None).cast(docs.schema[c].dataType).alias(c) if c == text else F.col(f"`{c}`") for c in names])
+    carried = docs.select(row.alias("row"), F.col(f"`{text}`").cast("string").alias("text"),
+                          F.col(f"`{lang}`").cast("string").alias("lang"))
+    return _with_references(carried, known, "lang").mapInArrow(giving_back(run), docs.schema)

@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from laptrace.llm.exchange import Buckets, chunked, narrow, widened
+from laptrace.llm.tables import give_back
 from laptrace.llm.words import Words, mixed
 
+#: MB of text that a chunk holds; a task takes some eight times that.
+CHUNK_MB = 8
 #: Windows are not halved below this many words.
 SHORTEST = 8
 #: Bits of a hash that a level below the asked length compares within a bucket (40 with rounding).
@@ -45,11 +48,7 @@ class Chunk:
         self.table = table.take(pa.compute.sort_indices(table.select(["doc_id", "text"]), sort_keys=keys,
                                                         null_placement="at_start"))
         self.words = Words(self.table["text"])
-        hashes = self.words.hashes()
-        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(hashes), _STEP, np.uint64)]))
-        inverse = pow(_STEP, -1, 1 << 64)
-        self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(hashes), inverse, np.uint64)]))
-        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * power[:-1])])
+        self.own = self.words.hashes()
 
     def windows(self, length: int) -> np.ndarray:
         """First words of all windows of a length."""
@@ -58,7 +57,23 @@ class Chunk:
         return np.repeat(self.words.first[:-1] - (ends - own), own) + np.arange(int(ends[-1]) if len(ends) else 0)
 
     def hashes(self, at: np.ndarray, length: int) -> np.ndarray:
-        return mixed((self.sums[at + length] - self.sums[at]) * self.back[at])
+        """Hashes of the windows of a length that begin at the given words: a polynomial over the words' hashes."""
+        out, have, piece, k, left = None, 0, self.own, 1, length
+        while left:  # ``piece`` covers k words, ``out`` the first ``have`` of the window
+            if left & 1:
+                out, have = piece if out is None else _joined(out, piece, have), have + k
+            left >>= 1
+            if left:
+                piece, k = _joined(piece, piece, k), 2 * k
+        return mixed(out[at])
+
+
+def _joined(head: np.ndarray, tail: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of k words and those behind them, for every place; windows that leave the chunk are not meant."""
+    out = head.copy()
+    if k < len(out):
+        out[:-k] += tail[k:] * np.uint64(pow(_STEP, k, 1 << 64))
+    return out
 
 
 def _candidates(chunk: Chunk, lengths: list[int], answers: pa.Table, buckets: Buckets) -> np.ndarray:
@@ -99,6 +114,8 @@ def _rough(lengths: list[int], level: int, buckets: Buckets):
         at = _candidates(chunk, lengths[: level + 1], answers, buckets)
         keys = np.unique(buckets.cut(chunk.hashes(at, lengths[level])))
         rows = [_question(key[0].as_py(), b, keys[lo:hi] - buckets.base(b)) for b, lo, hi in buckets.split(keys)]
+        del chunk, at, keys
+        give_back()
         return pa.Table.from_pylist(rows, _QUESTION)
     return ask
 
@@ -133,6 +150,8 @@ def _exact(lengths: list[int], buckets: Buckets, full: Buckets):
         place = at[first] - chunk.words.first[doc]
         rows = [_question(key[0].as_py(), b, keys[lo:hi] - full.base(b), ids[lo:hi], place[lo:hi])
                 for b, lo, hi in full.split(keys)]
+        del chunk, at, keys, first, doc, ids, place
+        give_back()
         return pa.Table.from_pylist(rows, _QUESTION)
     return ask
 
@@ -197,6 +216,8 @@ def _remove(lengths: list[int], buckets: Buckets, schema: pa.Schema):
                    "spans": pa.array(spans, schema.field("spans").type), "kept_text": text}
         out = [columns[f.name] if f.name in columns else chunk.table[f.name].combine_chunks().cast(f.type)
                for f in schema]
+        del chunk, words, at, keys, first, inverse, later, change, gone, text, columns
+        give_back()
         return pa.Table.from_arrays(out, schema=schema)
     return run
 
@@ -238,7 +259,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     narrow_docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                               *[F.struct(*others).alias("row")] * carry)
-    dealt, parts = chunked(narrow_docs, "doc_id")
+    dealt, parts = chunked(narrow_docs, "doc_id", mb_each=CHUNK_MB, measured=True)
     dealt = dealt.select("chunk", "doc_id", "text", *["row"] * carry)
     rough, full = Buckets(parts, ROUGH), Buckets(parts)
     spark = docs.sparkSession
@@ -275,7 +296,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """The rows with all their columns and the repeated passages cut from their texts.
 
     Texts that lose nothing stay as they are, others are their kept words joined by one blank; a column
-    named by ``length`` gets the new number of characters.
+    named by ``length`` gets the new number of characters.  Null texts stay null; nulls, repeated rows and ids and
+    empty tables are as in :func:`repeats`.
     """
     found = repeats(docs, doc_id, text, window, carry=True)
     new = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -42,14 +45,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions(df: DataFrame, mb_each: int = 16) -> int:
+def give_back() -> None:
+    """Hands a worker's freed memory back to the machine: workers stay for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` that ends its task with :func:`give_back`."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
+def partitions(df: DataFrame, mb_each: int = 16, measured: bool = False) -> int:
     """Partitions for a shuffle of whole texts: the session's number, or more if the input is large.
 
     The size is the optimizer's estimate, for files the bytes on disk; it bounds what one task holds.
-    Where the plan has no usable estimate, the strings are measured in one pass.
+    Where the plan has no usable estimate, or if asked to, the strings are measured in one pass.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > UNKNOWN:
+    if measured or size > UNKNOWN:
         texts = [f.name for f in df.schema.fields if f.dataType == T.StringType()]
         size = df.select(sum((F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c in texts), F.lit(0)).alias("n")).agg(
             F.coalesce(F.sum("n"), F.lit(0))).first()[0]
