@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from laptrace.ml import forest, search, shared_search, store
+from laptrace.ml import forest, nodes, search, shared_search, store
 from laptrace.session import fresh_path
 from laptrace.sources import records, synthetic, tables
 from laptrace.vocab import SEARCH_SPACE
@@ -35,6 +35,54 @@ def test_forest_saved_and_loaded(spark, train):
     assert features.count() == 1 and store.read_report(spark, path).first()["value"] == 1.0
 
 
+def test_scoring_by_nodes_is_what_the_model_says(spark):
+    """Sparse rows with gaps, against the model on dense vectors, and against SQL over the exported nodes."""
+    import duckdb
+
+    rng = np.random.default_rng(5)
+    n, width = 240, 12
+    dense = rng.normal(size=(n, width)).round(2)
+    dense[np.arange(n), np.arange(n) % 3] += 3
+    gaps = rng.random((n, width)) < 0.4
+    fills = [0.5 * p for p in range(width)]
+    filled = np.where(gaps, fills, dense)
+    rows = spark.createDataFrame([(f"r{i}", "abc"[i % 3], filled[i].tolist()) for i in range(n)],
+                                 "name string, label string, x array<double>").select(
+        "name", "label", array_to_vector("x").alias("features"))
+    model = forest.fit(rows, forest.index_labels(rows), numTrees=15, maxDepth=9)
+    path = fresh_path(spark, "model")
+    features = spark.createDataFrame([(p, f"f{p}", f) for p, f in enumerate(fills)], "position int, feature string, fill double")
+    store.save(model, features, path)
+    values = [(f"r{i}", p, float(dense[i, p])) for i in range(n) for p in range(width) if not gaps[i, p]]
+    given = tables.materialise(spark.createDataFrame(values, "name string, position int, value double"), fresh_path(spark, "v"))
+    table = nodes.node_table(spark, path, features)
+    assert table.groupBy("tree").count().count() == 15
+    found = {r.name: r for r in nodes.score(rows.select("name"), given, table, forest.label_names(model)).collect()}
+    want = {r.name: r for r in forest.score(model, rows).collect()}
+    assert found.keys() == want.keys()
+    for name, r in want.items():
+        assert abs(found[name].confidence - r.confidence) < 1e-9
+        assert found[name].predicted_label == r.predicted_label
+    con = duckdb.connect()
+    con.register("nodes", table.toPandas())
+    con.register("given", given.toPandas())
+    rows_sql = con.sql("""
+        with recursive walk(name, tree, node) as (
+          select distinct g.name, n.tree, 0 from given g cross join (select distinct tree from nodes) n
+          union all
+          select w.name, w.tree, case when coalesce(g.value, n.fill) <= n.cut then n."left" else n."right" end
+          from walk w join nodes n on n.tree = w.tree and n.node = w.node and n.position is not null
+          left join given g on g.name = w.name and g.position = n.position)
+        select name, class, sum(share) / 15 as p from (
+          select w.name, unnest(range(len(shares))) as class, unnest(shares) as share
+          from walk w join nodes n on n.tree = w.tree and n.node = w.node where n.position is null) group by all""").fetchall()
+    best = {}
+    for name, c, p in rows_sql:
+        best[name] = max(best.get(name, (0, 0)), (round(p, 9), -c))
+    assert all(forest.label_names(model)[-c] == found[name].predicted_label and abs(p - found[name].confidence) < 1e-8
+               for name, (p, c) in best.items())
+
+
 def test_search_prefers_the_better_candidate(spark, train):
     candidates = [{"numTrees": 1, "maxDepth": 0, "weighted": False}, {"numTrees": 3, "maxDepth": 4, "weighted": True}]
     indexed = forest.index_labels(train).transform(train)
