@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from laptrace.functions.events import feature_name
 from laptrace.functions.lookups import by_age
@@ -154,3 +154,26 @@ def filled_rows(made: Imputation) -> DataFrame:
     return joined.select("name", "split", "n_own", "n_estimated",
                          (n_features - F.col("n_own") - F.col("n_estimated")).alias("n_filled"),
                          ((all_fills + F.col("more")) / 1e6).alias("total"))
+
+
+def write_profile(made: Imputation, path: str) -> DataFrame:
+    """Writes the profile and returns metric, value: what its cells amount to, observed in the pass that writes it.
+
+    missing_before, estimated and missing_after for either split, the number of features, those without a value
+    in training and those filled by a baseline.
+    """
+    seen = Observation("imputation")
+    found = {"n_features": F.count_if(F.col("split") == "train")}
+    for split in ("train", "test"):
+        own = F.col("split") == split
+        found |= {
+            f"missing_before_{split}": F.sum(F.when(own, F.col("n_estimated") + F.col("n_filled")).otherwise(0)),
+            f"estimated_{split}": F.sum(F.when(own, F.col("n_estimated")).otherwise(0)),
+            f"missing_after_{split}": F.sum(F.when(own & F.col("fill").isNull(), F.col("n_filled")).otherwise(0)),
+        }
+    train = F.col("split") == "train"
+    found["features_without_values"] = F.count_if(train & (F.col("n_own") == 0))
+    found["features_with_baseline"] = F.count_if(train & (F.col("source") == "baseline"))
+    profile(made).observe(seen, *[F.coalesce(c, F.lit(0)).cast("double").alias(n) for n, c in found.items()]).write.parquet(path)
+    values = seen.get  # one row
+    return made.fills.sparkSession.createDataFrame(sorted(values.items()), "metric string, value double")

@@ -129,16 +129,22 @@ def fields(pages: DataFrame, carry: list[str], at_least: int = 3) -> DataFrame:
     return kept.select("*", "f.*").drop("f").withColumn("time_seconds", seconds(F.col("time_text")))
 
 
-def race_records(pages: DataFrame, page_key: str = "page_id", url: str = "url") -> DataFrame:
-    """Race records of all result tables of all readable pages."""
+def race_records(pages: DataFrame, page_key: str = "page_id", url: str = "url", page_athlete: str | None = None) -> DataFrame:
+    """Race records of all result tables of all readable pages.
+
+    ``page_athlete`` names a column with the person a page is about: rows that link to nobody with a valid name are
+    theirs, and ``from_page`` says so.  Without it such rows have no athlete.
+    """
     page = headers(readable(pages)).withColumn("meet_name", F.coalesce(F.col("title"), F.lit("Unknown Meet")))
-    found = essential(fields(page, [page_key, url, "meet_name", "page_course", "page_date"]))
-    filled = found.withColumns({
-        **fill_from_page(F.col("course"), F.col("race_date")),
-        "athlete": person_name(M.person_link_text(F.col("row"))),
-    })
+    parent = [page_athlete] if page_athlete else []
+    found = essential(fields(page, [page_key, url, "meet_name", "page_course", "page_date", *parent]))
+    linked = keep_once(found, "athlete", person_name(M.person_link_text(F.col("row"))))
+    filled = linked.withColumns(fill_from_page(F.col("course"), F.col("race_date")))
+    if page_athlete:
+        filled = filled.withColumn("from_page", F.col("athlete").isNull().cast("int")).withColumn(
+            "athlete", F.coalesce("athlete", F.col(page_athlete)))
     return filled.select(page_key, url, "meet_name", "table_pos", "row_pos", "athlete", "event_name", "time_seconds",
-                         "course", "race_date")
+                         "course", "race_date", *["from_page"] * bool(page_athlete))
 
 
 def first_match(candidates: DataFrame, key: str, order: str, url: str = "url", flag: str = "qualifies") -> DataFrame:

@@ -256,6 +256,26 @@ def imputed_rows(spark, sf_dir):
     return chain.filled_rows(imputation(spark, sf_dir))
 
 
+@query("eval_metrics__a9_imputation", f"""with {O.BEST_CTES}, {TOP}, {SPLIT_NAMES}, {CHAIN}, {BODY_CELLS}, {FILLS},
+  counted as (select f.feature, f.source, fill, r.split, n_rows,
+      count(c.value) filter (where estimated = 0) as n_own, count(c.value) filter (where estimated = 1) as n_estimated
+    from fills f cross join (select split, count(*) as n_rows from assigned group by split) r
+    left join cells c on c.feature = f.feature and c.split = r.split group by all),
+  totals as (select split, count(*) as n_features, sum(n_rows - n_own) as missing, sum(n_estimated) as estimated,
+      sum(case when fill is null then n_rows - n_own - n_estimated else 0 end) as still,
+      count(*) filter (where n_own = 0) as without, count(*) filter (where source = 'baseline') as baseline
+    from counted group by split)
+  select metric, value::double as value from (
+    select 'missing_before_' || split as metric, missing as value from totals union all
+    select 'estimated_' || split, estimated from totals union all select 'missing_after_' || split, still from totals union all
+    select 'n_features', n_features from totals where split = 'train' union all
+    select 'features_without_values', without from totals where split = 'train' union all
+    select 'features_with_baseline', baseline from totals where split = 'train')""")
+def imputation_report(spark, sf_dir):
+    """Missing values before and after imputation, and features without values, observed while the profile is written."""
+    return chain.write_profile(imputation(spark, sf_dir), fresh_path(spark, "profile"))
+
+
 @query("baseline_fill__d6", f"""with {O.BEST_CTES}
   select event, {BASELINE_SQL} as baseline, count(*) as n_marks from best group by event""")
 def baselines(spark, sf_dir):

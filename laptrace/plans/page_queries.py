@@ -14,6 +14,7 @@ from laptrace.plans.registry import query
 EVENT_LINKS = ["/results/2424/event/", "/event/", "/results/"]
 
 # --- filters ----------------------------------------------------------------------
+from laptrace.vocab import PERSON_PATH
 
 
 @query("page_filter__c4", f"with {O.PAGE_CTES} select page_id, url from race_pages where not regexp_matches(html, '403 Forbidden|Access Denied')")
@@ -256,6 +257,20 @@ def race_records(spark, sf_dir):
     return P.race_records(V.stored_pages(spark, sf_dir))
 
 
+@query("race_rows__j8_page_athlete", f"""with {O.PAGE_ROWS}
+  select k as page_id, cast(table_pos as integer) as table_pos, cast(i as integer) as row_pos,
+    case when k % 3 = 0 then {O.person("c")} else person end as athlete, cast(k % 3 = 0 as integer) as from_page, event_name,
+    {SECONDS} as time_seconds from page_marks where i <> 4""")
+def page_athlete_rows(spark, sf_dir):
+    """Race records where a third of the pages names nobody in its rows: their rows are of the page's athlete."""
+    unlinked = F.regexp_replace("html", f'<a href="{PERSON_PATH}[0-9]+">([^<]*)</a>', "$1")
+    pages = V.stored_pages(spark, sf_dir).withColumns({
+        "html": F.when(F.col("page_id") % 3 == 0, unlinked).otherwise(F.col("html")),
+        "page_athlete": V.person(F.col("athlete_id"))})
+    return P.race_records(pages, page_athlete="page_athlete").select(
+        "page_id", "table_pos", "row_pos", "athlete", "from_page", "event_name", "time_seconds")
+
+
 @query("clean_names__j7", f"""with {O.PAGE_ROWS}
   select k as page_id, case t when 1 then 'preliminaries' when 2 then 'semifinals' else 'finals' end as session,
     cast(i as integer) as row_pos, person as name from page_marks

@@ -173,3 +173,29 @@ def available_events(spark, sf_dir):
     best = V.best_marks(spark, sf_dir)
     vocabulary = reshape.add_feature(best.select("event", "course", "age").distinct())
     return scoring.available(vocabulary, vocabulary)
+
+
+REQUEST_COURSES = ["LCM", "SCM", "SCY", "OPEN"]
+
+
+@query("available_events__i22_requests", f"""with {O.BEST_CTES},
+  offered as (select course, age, list_sort(list(distinct event)) as events from best
+    where event in ({", ".join(f"'{e}'" for e in SCORING_EVENTS)}) group by course, age),
+  requests as (select c_custkey as request, {O.at(REQUEST_COURSES, "c_custkey % 4")} as course,
+    case when c_custkey % 11 <> 0 then cast(5 + c_custkey % 35 as integer) end as age from customer),
+  near as (
+    select request, o.age as nearest_age, o.events, row_number() over (partition by request order by abs(o.age - r.age), o.age) as place
+    from requests r join offered o on o.course = r.course where r.age is not null)
+  select r.request, r.course, r.age, coalesce(array_to_string(o.events, ';'), '') as offered, n.nearest_age,
+    coalesce(array_to_string(n.events, ';'), '') as nearest
+  from requests r left join offered o on o.course = r.course and o.age = r.age left join near n on n.request = r.request and place = 1""")
+def answered_requests(spark, sf_dir):
+    """What every customer can enter times for, requests that nothing is offered for included."""
+    k = F.col("c_custkey")
+    requests = V.table(spark, sf_dir, "customer").select(
+        k.alias("request"), V.pick(REQUEST_COURSES, k % 4).alias("course"),
+        F.when(k % 11 != 0, 5 + k % 35).cast("int").alias("age"))
+    vocabulary = V.stored_best_marks(spark, sf_dir).select("event", "course", "age").distinct()
+    found = scoring.answers(requests, vocabulary)
+    return found.select("request", "course", "age", F.array_join("offered", ";").alias("offered"), "nearest_age",
+                        F.array_join("nearest", ";").alias("nearest"))

@@ -111,6 +111,18 @@ def write_matrices(spark, sf_dir):
     return tables.read_split(spark, path, "train")
 
 
+@query("io_csv_roundtrip__a4_both", f"with {ORDER_SPLIT} select o_orderkey, o_totalprice, o_orderpriority, fold, split from split_orders")
+def write_both_matrices(spark, sf_dir):
+    """Train and test rows as CSV with a header, a folder each, both read back under a declared schema."""
+    path = fresh_path(spark, "matrices")
+    orders = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    tables.write_csv(splits.stratified(orders, "o_orderkey", "o_orderpriority"), path, by=["split"])
+    schema = "o_orderkey long, o_totalprice double, o_orderpriority string, fold int"
+    read = {which: tables.read_csv(spark, f"{path}/split={which}", schema).withColumn("split", F.lit(which))
+            for which in ("train", "test")}
+    return read["train"].unionByName(read["test"])
+
+
 @query("name_list__a6", "select c_name as name from customer where c_custkey % 10 <> 3")
 def read_name_list(spark, sf_dir):
     """Lines with blanks around the names and some blank lines."""

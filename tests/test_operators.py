@@ -219,3 +219,43 @@ def test_only_hot_keys_are_salted(spark):
     wide = spark.range(300).selectExpr("concat('k', id % 50) as k", "id", "concat('o', id) as other")
     plan = salted_join(wide, dim, ["k"], "left", 8, hot_rows=100, salt_by=["id"]).select("k", "v")
     assert "other" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_requests_keep_empty_answers(spark):
+    from laptrace.operators import scoring
+
+    vocabulary = spark.createDataFrame(
+        [("50mFree", "LCM", 10), ("100mFree", "LCM", 10), ("50mFree", "LCM", 14), ("50mFree", "SCY", None), ("Odd", "LCM", 12),
+         ("50mFree", None, 10)], "event string, course string, age int")
+    requests = spark.createDataFrame([(1, "LCM", 10), (2, "LCM", 12), (3, "LCM", 99), (4, "SCY", 10), (5, "XXX", 10),
+                                      (6, None, 10), (7, "LCM", None), (1, "LCM", 10)], "id int, course string, age int")
+    found = scoring.answers(requests, vocabulary, ["50mFree", "100mFree"]).collect()
+    got = sorted((r.id, tuple(r.offered), r.nearest_age, tuple(r.nearest)) for r in found)
+    both = ("100mFree", "50mFree")
+    assert got == [(1, both, 10, both), (1, both, 10, both), (2, (), 10, both), (3, (), 14, ("50mFree",)), (4, (), None, ()),
+                   (5, (), None, ()), (6, (), None, ()), (7, (), None, ())]
+
+
+def test_rows_without_link_are_of_the_pages_athlete(spark):
+    from laptrace.operators import pages
+
+    def line(person, event, time):
+        return f"<tr><td>1</td><td>{person}</td><td>{event}</td><td>{time}</td></tr>"
+
+    html = "<h1>Meet</h1><p>LCM</p><table>" + line('<a href="/swimmer/1">Alex Doe</a>', "50 Free", "25.10") + line(
+        "Robin Roe", "50 Fly", "27.10") + line('<a href="/swimmer/2">X</a>', "50 Back", "28.10") + "</table>"
+    frame = spark.createDataFrame([(1, "/a", html, "Page Person"), (2, "/b", html, None)],
+                                  "page_id int, url string, html string, about string")
+    found = pages.race_records(frame, page_athlete="about").orderBy("page_id", "row_pos").collect()
+    assert [(r.page_id, r.athlete, r.from_page) for r in found] == [
+        (1, "Alex Doe", 0), (1, "Page Person", 1), (1, "Page Person", 1), (2, "Alex Doe", 0), (2, None, 1), (2, None, 1)]
+    assert "from_page" not in pages.race_records(frame).columns
+
+
+def test_training_report(spark):
+    from laptrace.operators import metrics
+
+    searched = spark.createDataFrame([(0, "a=1, b=x", 0.25, 0), (1, "a=2, b=y", 0.5, 1)], "candidate int, params string, macro_f1 double, is_best int")
+    part = spark.createDataFrame([("n", 3.0)], "metric string, value double")
+    assert sorted(map(tuple, metrics.training_report(searched, part, part).collect())) == [
+        ("holdout", "n", "3.0"), ("imputation", "n", "3.0"), ("parameters", "a", "2"), ("parameters", "b", "y"), ("search", "cv_macro_f1", "0.5")]
