@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from laptrace.session import fresh_path
+from laptrace.sources.tables import materialise
+
 
 def shuffled_rank(df: DataFrame, group: list[str], key: str, seed: int | str) -> DataFrame:
     """Adds ``rank`` (1..n in each group, in order of a seeded hash of the key) and ``group_rows``.
@@ -32,3 +35,20 @@ def shuffled_rank(df: DataFrame, group: list[str], key: str, seed: int | str) ->
         .drop("__g", "__h", "__slice", "__start", "__r")
     )
 
+
+def numbered(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """Adds the position of each row, from 0, in an order that tells all rows apart.
+
+    Rows are dealt by range and written; a range starts behind the rows of those before it, so no task sees more
+    than one range and nothing is gathered but a count for each.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(df.repartitionByRange(parts, *order).withColumn("__range", F.spark_partition_id()),
+                         fresh_path(spark, "ranges"))
+    ahead = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__range", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return ranged.withColumn("__r", inside).join(F.broadcast(offsets), "__range").withColumn(
+        name, F.col("__start") + F.col("__r") - 1).drop("__range", "__r", "__start")

@@ -453,3 +453,26 @@ def aligned_requests(spark, sf_dir):
     text = F.array_join(F.transform("aligned", lambda v: F.format_string("%.6f", v)), ";")
     return aligned.select("name", F.size("aligned").alias("n_features"),
                           F.coalesce(F.size("given"), F.lit(0)).alias("n_given"), F.md5(text).alias("vector_md5"))
+
+
+@query("score_align__k10_sparse", f"""with {O.BEST_CTES}, {TOP}, {SPLIT_NAMES}, {CHAIN}, {BODY_CELLS}, {FILLS},
+  coded as (select row_number() over (order by feature) - 1 as position, feature, fill,
+    case when contains(feature, 'FastestTime') then 999.0::double else 0.0 end as fixed from fills),
+  own as (select c.name, position, c.value from cells c join coded using (feature) where estimated = 0),
+  texts as (select name, md5(string_agg(position || '=' || printf('%.6f', value), ';' order by position)) as given_md5 from own group by name)
+  select a.name, count(o.value) as n_given, coalesce(any_value(given_md5), md5('')) as given_md5,
+    sum(cast(round(coalesce(o.value, fill) * 1000000) as bigint)) / 1000000::double as total,
+    sum(cast(round(coalesce(o.value, fixed) * 1000000) as bigint)) / 1000000::double as total_fixed
+  from assigned a cross join coded f left join own o on o.name = a.name and o.position = f.position
+  left join texts t on t.name = a.name group by a.name""")
+def sparse_requests(spark, sf_dir):
+    """Requests as dictionary-coded sparse rows, filled by fitted values and by the fixed ones."""
+    made = imputation(spark, sf_dir)
+    coded = materialise(scoring.dictionary(made.fills.select("feature", "fill")), fresh_path(spark, "dictionary"))
+    given = scoring.sparse_rows(made.own, coded, "name")
+    rows = materialise(made.assigned.select("name").join(given, "name", "left"), fresh_path(spark, "sparse"))
+    text = F.array_join(F.transform("given", lambda g: F.concat(
+        g["position"].cast("string"), F.lit("="), F.format_string("%.6f", g["value"]))), ";")
+    fitted, fixed = (scoring.filled_sums(rows, scoring.defaults(coded, f), "name") for f in (True, False))
+    return (rows.select("name", F.md5(F.coalesce(text, F.lit(""))).alias("given_md5"))
+            .join(fitted, "name").join(fixed.select("name", F.col("total").alias("total_fixed")), "name"))

@@ -52,6 +52,51 @@ def read_athletes(spark, sf_dir):
         F.array_join("paris_2024_races", "; ").alias("entered"), F.size("paris_2024_races").alias("n_entered"))
 
 
+@query("io_json_roundtrip__a1_rejects", f"""with {O.RACE_CTES},
+  lines as (select case when ends_with(meet_name, '01') then 'unreadable' when ends_with(meet_name, '02') then 'no event' end as reason,
+    name, event_name, meet_url from races)
+  select case when reason is null then 'good' else 'rejected' end as status, coalesce(reason, '') as reason,
+    case reason when 'unreadable' then '{{"Swimmer_ID":"Supplier#0' when 'no event' then name || '|' || meet_url
+      else event_name end as shown, count(*) as n from lines group by all""")
+def sorted_records(spark, sf_dir):
+    """Race records, cut off or without an event in part, written to both sides in one pass; both sides read back."""
+    path, sides = fresh_path(spark, "records"), fresh_path(spark, "sides")
+    whole = race_records(spark, sf_dir).withColumn(
+        "Event_Name", F.when(~F.col("Meet_Name").endswith("02"), F.col("Event_Name")))
+    line = F.to_json(F.struct("*"))
+    cut = F.when(F.col("Meet_Name").endswith("01"), F.substring(line, 1, 25)).otherwise(line)
+    whole.select(cut.alias("value")).write.text(path)
+    read = records.read_json(spark, path, records.RACE_SCHEMA)
+    records.write_judged(records.judged(read, {"no event": F.col("Event_Name").isNull()}), sides)
+    good = records.read_judged(spark, sides, records.RACE_SCHEMA, "good").select(
+        F.lit("good").alias("status"), F.lit("").alias("reason"), F.col("Event_Name").alias("shown"))
+    kept = F.concat_ws("|", F.get_json_object("raw", "$.Swimmer_ID"), F.get_json_object("raw", "$.Meet_URL"))
+    bad = records.read_judged(spark, sides, records.RACE_SCHEMA, "rejected").select(
+        F.lit("rejected").alias("status"), "reason",
+        F.when(F.col("reason") == "no event", kept).otherwise(F.col("raw")).alias("shown"))
+    return good.unionByName(bad).groupBy("status", "reason", "shown").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("io_json_roundtrip__a2_rejects", f"""with {O.ATHLETES}
+  select name, case when s_suppkey % 17 = 3 then 'rejected' else 'good' end as status,
+    case when s_suppkey % 17 = 3 then 'no answer' else '' end as reason from athletes_raw""")
+def sorted_athletes(spark, sf_dir):
+    """Athlete records with their fate: those that failed are kept apart, with the error they came with."""
+    path, sides = fresh_path(spark, "athletes"), fresh_path(spark, "sides")
+    raw = V.athletes_raw(spark, sf_dir)
+    failed = F.substring("name", -9, 9).cast("long") % 17 == 3
+    blank = [F.when(~failed, F.col(c)).alias(c) for c in raw.columns if c != "name"]
+    records.write_json(raw.select("name", *blank, F.when(failed, "no answer").alias("error")), path)
+    read = records.read_json(spark, path, records.ATHLETE_SCHEMA)
+    records.write_judged(records.judged(read, {"failed": F.col("error").isNotNull()}), sides)
+    good = records.read_judged(spark, sides, records.ATHLETE_SCHEMA, "good").select(
+        "name", F.lit("good").alias("status"), F.lit("").alias("reason"))
+    bad = records.read_judged(spark, sides, records.ATHLETE_SCHEMA, "rejected").select(
+        F.get_json_object("raw", "$.name").alias("name"), F.lit("rejected").alias("status"),
+        F.get_json_object("raw", "$.error").alias("reason"))
+    return good.unionByName(bad)
+
+
 @query("io_json_roundtrip__a5", f"with {O.BEST_CTES} select * from best")
 def write_records(spark, sf_dir):
     path = fresh_path(spark, "best")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # fixed values: record layouts
 RACE_SCHEMA = (
@@ -31,6 +31,33 @@ def well_formed(records: DataFrame) -> DataFrame:
     return records.where("_corrupt_record is null").drop("_corrupt_record")
 
 
+def judged(records: DataFrame, reasons: dict[str, Column] | None = None) -> DataFrame:
+    """Adds ``status`` (good or rejected), ``reason`` and ``raw``, for tables and streams of :func:`read_json`.
+
+    A text that does not parse is rejected as unreadable, others for the first of the ``reasons`` whose condition
+    holds; a condition that is null does not.  ``raw`` is the text as it was read, or the record as JSON; good records have none.
+    """
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "unreadable")
+    for name, condition in (reasons or {}).items():
+        reason = reason.when(condition, name)
+    fields = [c for c in records.columns if c != "_corrupt_record"]
+    raw = F.coalesce("_corrupt_record", F.to_json(F.struct(*fields)))
+    return records.withColumn("reason", reason).withColumns({
+        "raw": F.when(F.col("reason").isNotNull(), raw),
+        "status": F.when(F.col("reason").isNull(), "good").otherwise("rejected")}).drop("_corrupt_record")
+
+
+def write_judged(records: DataFrame, path: str) -> None:
+    """Good and rejected records in one pass, a folder each, so that a reader of one never opens the other."""
+    records.write.partitionBy("status").parquet(path)
+
+
+def read_judged(spark: SparkSession, path: str, schema: str, status: str) -> DataFrame:
+    """The good records with their fields, or the rejected ones with reason and raw text."""
+    table = spark.read.schema(f"{schema}, reason string, raw string, status string").parquet(path).where(F.col("status") == status)
+    return table.drop("status", "reason", "raw") if status == "good" else table.select("reason", "raw")
+
+
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """JSON Lines, nulls kept as fields, one file per task."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)

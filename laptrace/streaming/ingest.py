@@ -6,19 +6,23 @@ stopped and no file is read twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from laptrace.operators.races import parse
-from laptrace.sources.records import RACE_SCHEMA
+from laptrace.sources.records import RACE_SCHEMA, judged
 
 
-def new_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream of well-formed race records from JSON Lines files of a folder."""
-    stream = (
+def all_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Stream of race records from JSON Lines files of a folder, what does not parse in ``_corrupt_record``."""
+    return (
         spark.readStream.schema(RACE_SCHEMA + ", _corrupt_record string")
         .option("columnNameOfCorruptRecord", "_corrupt_record").json(folder)
     )
-    return stream.where("_corrupt_record is null").drop("_corrupt_record")
+
+
+def new_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Stream of well-formed race records."""
+    return all_records(spark, folder).where("_corrupt_record is null").drop("_corrupt_record")
 
 
 def parsed(records: DataFrame) -> DataFrame:
@@ -38,3 +42,13 @@ def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str) -> Non
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+
+
+def sort_out(spark: SparkSession, folder: str, table: str, checkpoint: str, reasons: dict[str, Column] | None = None) -> None:
+    """Appends all records of new files to a Parquet table, good and rejected in a folder each, then stops."""
+    query = (
+        judged(all_records(spark, folder), reasons).writeStream.format("parquet").partitionBy("status")
+        .option("path", table).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()

@@ -215,3 +215,24 @@ def test_registered_search_tries_every_draw(spark, monkeypatch):
     assert max(r["macro_f1"] for r in found) == next(r["macro_f1"] for r in found if r["is_best"])
     for candidate in search.draws():
         forest.classifier(**{k: v for k, v in candidate.items() if k != "weighted"})._transfer_params_to_java()
+
+
+def test_rejected_records_are_kept(spark, tmp_path):
+    from laptrace.streaming.ingest import sort_out
+
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.json").write_text('{"Swimmer_ID": "a", "Event_Name": "50 Free"}\n{"broken\n{"Swimmer_ID": "b"}\n')
+    reasons = {"no event": F.col("Event_Name").isNull(), "never": F.lit(None).cast("boolean")}
+    read = records.read_json(spark, str(source), records.RACE_SCHEMA)
+    path = fresh_path(spark, "judged")
+    records.write_judged(records.judged(read, reasons), path)
+    stream, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    sort_out(spark, str(source), stream, mark, reasons)
+    (source / "2.json").write_text('{"Swimmer_ID": "c", "Event_Name": "50 Fly"}\nnothing\n')
+    sort_out(spark, str(source), stream, mark, reasons)
+    for place, more in ((path, 0), (stream, 1)):
+        good = records.read_judged(spark, place, records.RACE_SCHEMA, "good").collect()
+        assert sorted(r.Swimmer_ID for r in good) == ["a", "c"][:1 + more]
+        bad = records.read_judged(spark, place, records.RACE_SCHEMA, "rejected").collect()
+        assert sorted(map(tuple, bad)) == sorted([("unreadable", '{"broken'), ("no event", '{"Swimmer_ID":"b"}')] + [("unreadable", "nothing")] * more)

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from laptrace.operators import athletes, impute, joins, labels, metrics, quantiles, races, ranking, reshape, scoring, splits
+from laptrace.session import fresh_path
+from laptrace.sources import tables
 
 
 def hot_rows(n=3000, seed=1):
@@ -259,3 +261,21 @@ def test_training_report(spark):
     part = spark.createDataFrame([("n", 3.0)], "metric string, value double")
     assert sorted(map(tuple, metrics.training_report(searched, part, part).collect())) == [
         ("holdout", "n", "3.0"), ("imputation", "n", "3.0"), ("parameters", "a", "2"), ("parameters", "b", "y"), ("search", "cv_macro_f1", "0.5")]
+
+
+def test_a_million_features_without_a_list(spark):
+    from laptrace.operators import scoring
+
+    n = 1_000_000
+    features = spark.range(n).select(F.concat(F.lit("f"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("feature"),
+                                     (F.col("id") % 10).cast("double").alias("fill")).repartition(5)
+    coded = tables.materialise(scoring.dictionary(features), fresh_path(spark, "coded"))
+    assert coded.count() == n
+    assert coded.where(F.col("position") != F.substring("feature", 2, 7).cast("long")).isEmpty()
+    long = spark.createDataFrame([("a", "f0000003", 5.0), ("a", "f0999999", 1.5), ("a", "f0000003", 4.5), ("a", "unknown", 9.0),
+                                  ("b", "f0000001", None)], "name string, feature string, value double")
+    rows = scoring.sparse_rows(long, coded, "name")
+    assert [(r.name, [tuple(g) for g in r.given]) for r in rows.collect()] == [("a", [(3, 4.5), (999999, 1.5)])]
+    sums = scoring.filled_sums(rows, scoring.defaults(coded), "name").first()
+    assert (sums.n_given, sums.total) == (2, 4.5 * n + (4.5 - 3) + (1.5 - 9))
+    assert scoring.filled_sums(rows, scoring.defaults(coded, fitted=False), "name").first().total == 6.0
