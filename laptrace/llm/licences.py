@@ -78,8 +78,7 @@ NAMES = {
     "CC-BY-NC-4.0": ["cc by nc 4 0", "creative commons attribution noncommercial 4 0 international license"],
     "CC-BY-ND-4.0": ["cc by nd 4 0", "creative commons attribution noderivatives 4 0 international license"],
 }
-#: The same sentences as public texts have them, with what a line break or a mark keeps together;
-#: ``scan`` knows them, ``scan_sql`` does not.
+#: The same sentences as public texts have them, with what a line break or a mark keeps together.
 VERBATIM = {
     "notice:Apache-2.0": ["licensed under the apache license version 2 0 the license"],
     # in a block of comments no empty line parts the address from what follows
@@ -163,34 +162,31 @@ def _tagged(sentence: Column) -> Column:
     return F.when(F.startswith(sentence, F.lit(TAG_WORDS)), named).otherwise(F.array(sentence))
 
 
-def known_sentences(text: Column, tags: bool = False) -> Column:
+def known_sentences(text: Column) -> Column:
     """Identifiers of a text's known sentences in order.
 
     Sentences end behind a mark and blanks or at an empty line; a sentence over several lines is
-    looked up as a whole and then line by line.  With ``tags``, an SPDX tag is looked up before its
-    colon can cut it, each licence of its expression by itself.
+    looked up as a whole and then line by line.  An SPDX tag is looked up before its colon can cut it, each
+    licence of its expression by itself.
     """
     text = F.regexp_replace(text, VERSION, "$1")
-    if tags:
-        text = F.regexp_replace(text, TAG, f"\x01{TAG_WORDS}$1\x01")
+    text = F.regexp_replace(text, TAG, f"\x01{TAG_WORDS}$1\x01")
     marked = F.regexp_replace(text, BOUNDARY, "$1\x01")
     whole = F.filter(F.split(marked, "\x01"), lambda s: F.translate(s, UPPER, LOWERED).rlike(ANCHORS))
     with_lines = F.flatten(F.transform(whole, lambda s: F.when(
         F.contains(s, F.lit("\n")), F.concat(F.array(s), F.split(s, "\n"))).otherwise(F.array(s))))
-    if tags:
-        with_lines = F.flatten(F.transform(with_lines, _tagged))
+    with_lines = F.flatten(F.transform(with_lines, _tagged))
     table = F.create_map(*[F.lit(x) for pair in verbatim().items() for x in pair])
     return F.filter(F.transform(with_lines, lambda s: F.element_at(table, normalised(s))), lambda i: i.isNotNull())
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tags: bool = False) -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_known, sentence_ids, licences, rules for every row.
 
     ``sentence_ids`` are the known sentences in order; ``licences`` the licences whose rules match, in
     the order of the rules, and ``rules`` the first matching rule of each, all joined by commas.
 
-    With ``tags``, SPDX tags in their standard form ("SPDX-License-Identifier: MIT OR Apache-2.0") count as
-    notices of their licences; without, their colon ends a sentence and they are not found.
+    SPDX tags in their standard form ("SPDX-License-Identifier: MIT OR Apache-2.0") count as notices of their licences.
 
     Null, empty and unlicensed texts have 0 known sentences and empty strings; ids are passed on as
     they are, nulls and repeats included; other columns are not looked at; an empty table gives an
@@ -200,7 +196,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tags: bool
     possible = F.coalesce(F.translate(value, UPPER, LOWERED).rlike(ANCHORS), F.lit(False))
     none = F.array().cast("array<string>")
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).select(
-        "doc_id", F.when(possible, known_sentences(value, tags)).otherwise(none).alias("ids"))
+        "doc_id", F.when(possible, known_sentences(value)).otherwise(none).alias("ids"))
     # every identifier between commas of its own, so that rules meet whole identifiers
     line = F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit(","), i, F.lit(","))))
     listed = found.withColumn("line", line)
@@ -219,14 +215,17 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tags: bool
 def scan_sql() -> str:
     """The same in DuckDB's SQL over ``documents``."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ", ".join(f"({quote(t)}, {quote(i)})" for t, i in sentences().items())
+    known = ", ".join(f"({quote(t)}, {quote(i)})" for t, i in verbatim().items())
     rules = ", ".join(f"({n}, {quote(licence)}, {quote(name)}, {quote(rule_pattern(parts))})"
-                      for n, (licence, name, parts) in enumerate(RULES))
+                      for n, (licence, name, parts) in enumerate(RULES + TAG_RULES))
     lower = f"translate({{0}}, '{UPPER}', '{LOWERED}')"
+    version = VERSION.replace("(?=[0-9])", "([0-9])")  # there is no looking ahead
+    tidy = f"regexp_replace(text, '{version}', '\\1\\2', 'g')"
+    tagged = f"regexp_replace({tidy}, '{TAG}', chr(1) || '{TAG_WORDS}\\1' || chr(1), 'g')"
     return f"""
 with known(sentence, id) as (values {known}), rules(n, licence, name, pattern) as (values {rules}),
 cut as (
-    select doc_id, string_split(regexp_replace(text, '{BOUNDARY}', '\\1' || chr(1), 'g'), chr(1)) as parts
+    select doc_id, string_split(regexp_replace({tagged}, '{BOUNDARY}', '\\1' || chr(1), 'g'), chr(1)) as parts
     from documents where text is not null
 ), whole as (select doc_id, unnest(parts) as s, unnest(range(len(parts))) as i from cut),
 lines as (
@@ -234,12 +233,18 @@ lines as (
     union all
     select doc_id, i, unnest(range(1, len(string_split(s, chr(10))) + 1)) as j, unnest(string_split(s, chr(10))) as s
     from whole where contains(s, chr(10))
+), stated as (
+    select doc_id, i, j, case when starts_with(s, '{TAG_WORDS}')
+      then list_transform(string_split_regex(substr(s, {len(TAG_WORDS) + 1}), '{TAG_PARTS}'),
+                          lambda x: '{TAG_WORDS}' || regexp_replace(x, '{TAG_REST}', '', 'g'))
+      else [s] end as forms from lines
+), formed as (select doc_id, i, j, unnest(forms) as s, unnest(range(len(forms))) as part from stated
 ), found as (
-    select doc_id, i, j, k.id from lines
+    select doc_id, i, j, part, k.id from formed
     join known k on k.sentence = trim(regexp_replace({lower.format("s")}, '{LETTERS}', ' ', 'g'))
 ), listed as (
-    select doc_id, count(*) as n_known, string_agg(id, ',' order by i, j) as ids,
-           string_agg(',' || id || ',', '' order by i, j) as line
+    select doc_id, count(*) as n_known, string_agg(id, ',' order by i, j, part) as ids,
+           string_agg(',' || id || ',', '' order by i, j, part) as line
     from found group by doc_id
 ), matched as (
     select doc_id, n, licence, name, row_number() over (partition by doc_id, licence order by n) as place

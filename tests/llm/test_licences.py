@@ -1,3 +1,5 @@
+import duckdb
+import pyarrow as pa
 import pytest
 
 from laptrace.llm import licences
@@ -11,7 +13,7 @@ CASES = [
     (f"/* {GRANT.upper()}:\n\n{NOTICE}. other words. {licences.SENTENCES['mit-warranty']}. "
      f"{licences.SENTENCES['mit-liability']}. */", "MIT", "text"),
     (f"{NOTICE}. {GRANT}.", "", ""),  # the wrong order
-    ("SPDX-License-Identifier: GPL-3.0-only", "", ""),  # cut at the colon
+    ("SPDX-License-Identifier: GPL-3.0-only", "GPL-3.0-only", "notice"),
     ("SPDX License Identifier GPL-3.0-only", "GPL-3.0-only", "notice"),
     ("a line\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License.", "MIT,CC-BY-NC-4.0", "notice,notice"),
     ("This is not licensed under the MIT license", "", ""),
@@ -150,7 +152,18 @@ TAGS = [
 def test_public_texts_and_tags(spark):
     cases = PUBLIC + TAGS
     docs = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(cases)], "doc_id long, text string")
-    rows = licences.scan(docs, tags=True).orderBy("doc_id").collect()
-    assert [(r.licences, r.rules) for r in rows] == [c[1:] for c in cases]
     rows = licences.scan(docs).orderBy("doc_id").collect()
-    assert [(r.licences, r.rules) for r in rows[:len(PUBLIC)]] == [c[1:] for c in PUBLIC]
+    assert [(r.licences, r.rules) for r in rows] == [c[1:] for c in cases]
+
+
+def test_sql_on_the_same_texts(spark):
+    """The SQL of the query knows what the scan knows: every public text, tag and case, alone and one after another."""
+    texts = [t for t, *_ in PUBLIC + TAGS + CASES]
+    texts += [f"{a or ''}\n\n{b or ''}" for a, b in zip(texts, texts[1:], strict=False)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}))
+    columns = ["doc_id", "n_known", "sentence_ids", "licences", "rules"]
+    want = con.sql(f"select {', '.join(columns)} from ({licences.scan_sql()}) order by doc_id").fetchall()
+    assert [tuple(r) for r in licences.scan(docs).select(*columns).orderBy("doc_id").collect()] == want
+    assert sum(r[1] > 0 for r in want) > 60
