@@ -114,13 +114,21 @@ def likelihoods(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
 
 
 def visible(html: Column) -> Column:
-    """A page's text: without scripts, styles, comments, tags and entities."""
-    return F.regexp_replace(F.regexp_replace(shown(html), r"<[^>]*>", " "), r"&#?\w+;", " ")
+    """A page's text: without scripts, styles, comments, tags and entities.
+
+    What follows the last ``>`` holds no whole tag.  It is set aside first, so that every ``<`` looked
+    at ends somewhere and a page of open brackets is read once.
+    """
+    page = shown(html)
+    tail = F.substring_index(page, ">", -1)
+    tags = F.substring(page, F.lit(1), F.char_length(page) - F.char_length(tail))
+    return F.regexp_replace(F.concat(F.regexp_replace(tags, r"<[^>]*>", " "), tail), r"&#?\w+;", " ")
 
 
 def shown(html: Column) -> Column:
-    """A page without scripts, styles and comments."""
-    return F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", " ")
+    """A page without scripts, styles and comments; one that is not closed runs to the end of the page."""
+    return F.regexp_replace(html, r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)",
+                            " ")
 
 
 def declared_in(html: Column) -> Column:

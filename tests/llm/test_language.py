@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +78,27 @@ def test_languages_in_blocks(spark, labelled, monkeypatch):
     assert abs(float(sum(map(sum, language.np.exp(whole)))) - 4) < 1e-6
 
 
+def test_visible_text(spark):
+    pages = {"a<b": "a<b", "a<b>c<i": "a c<i", "<p>x &amp; y</p>z": " x   y z", "x<script>y": "x ", "x<STYLE a>y</style >z": "x z",
+             "x<!-- <p>y": "x ", "<a href='x<y'>t</a>u": " t u", "5 < 6 and 7 > 2": "5   2", "": "", "plain": "plain",
+             ">>": ">>", "x<script>a</script\n>b<!-->c-->d": "x b d", "<<p>>q": " >q", "\u00e9<b>\U0001f600": "\u00e9 \U0001f600"}
+    docs = spark.createDataFrame(list(pages.items()) + [(None, None)], "html string, want string")
+    for r in docs.select("want", language.visible(F.col("html")).alias("text")).collect():
+        assert r.text == r.want
+
+
+@pytest.mark.parametrize("unit", ["<!-- x ", "<script>x ", "<style>x ", "<a b ", "<script>x</script ", "&amp "])
+def test_time_grows_with_the_page(spark, unit):
+    """Four times a page of things never closed takes far less than sixteen times as long."""
+    def seconds(n: int) -> float:
+        page = spark.createDataFrame([(unit * n,)], "html string")
+        start = time.perf_counter()
+        page.select(F.length(language.visible(F.col("html"))), language.declared_in(F.col("html"))).collect()
+        return time.perf_counter() - start
+    seconds(1000)
+    assert seconds(100_000) < 5 * seconds(25_000) + 1.0
+
+
 def test_declared_language_is_found_anywhere(spark):
     pages = ["<!-- " + "x" * 5000 + ' <html lang="de"> --><html class="a" lang="da">', " " * 3000 + "<HTML LANG=da>",
              "<script>'<html lang=\"de\">'</script >" + "\n" * 3000 + "<html\nlang='da'>",
