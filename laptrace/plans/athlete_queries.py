@@ -306,6 +306,15 @@ def pending_names(spark, sf_dir):
     return joins.pending(customers, done, "name", "done", ignore_case=True)
 
 
+@query("pending_rows__d3", """select l_orderkey, l_linenumber, l_quantity from lineitem
+  where l_orderkey not in (select o_orderkey from orders where o_orderstatus = 'P' and o_orderkey is not null)""")
+def pending_rows(spark, sf_dir):
+    """Whole rows of orders that are not done, by way of the Bloom filter, as if the done keys were too many to broadcast."""
+    rows = V.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    done = V.table(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
+    return joins.without_done(rows, done, "l_orderkey", "o_orderkey", max_rows=0)
+
+
 @query("pending_names__h2", """select o_custkey as c_custkey from orders where o_orderstatus = 'F'
   except select o_custkey from orders where o_orderstatus = 'P'""")
 def set_difference(spark, sf_dir):

@@ -180,6 +180,46 @@ def test_pending_and_append(spark):
     assert both.columns == ["name", "n"] and both.count() == 6
 
 
+@pytest.mark.parametrize("bounds", [{}, {"max_rows": 0}, {"max_rows": 0, "max_words": 0}])
+def test_rows_of_done_keys_go(spark, bounds):
+    """Broadcast, Bloom filter and salted join give the same rows."""
+    data = [(f"Key{i % 700}", i) for i in range(3000)] + [(None, 1), (None, 1), ("Key3", 3), ("hot", 0)] + [("hot", 1)] * 900
+    names = spark.createDataFrame(data, "name string, n int")
+    done = spark.createDataFrame([(f"kEY{i}",) for i in range(3, 500, 7)] * 2 + [("HOT",), (None,)], "d string")
+    gone = {f"key{i}" for i in range(3, 500, 7)} | {"hot"}
+    for seen, left in ((done, [r for r in data if (r[0] or "").lower() not in gone]), (done.limit(0), data)):
+        found = joins.without_done(names, seen, "name", "d", ignore_case=True, **bounds)
+        assert found.columns == ["name", "n"]
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(left, key=repr)
+    assert joins.without_done(names.limit(0), done, "name", "d", **bounds).count() == 0
+
+
+def test_bloom_filter_misses_nothing_and_doubts_little(spark):
+    """With one key in a hundred done, at most three rows in a hundred are shuffled."""
+    facts = spark.range(200_000).select(F.col("id").alias("k"))
+    done = spark.range(0, 200_000, 100).select(F.col("id").alias("k"))
+    flagged = joins.doubtful(facts, done, "k", 500, "maybe")
+    known, doubted = flagged.agg(F.count_if(F.col("maybe") & (F.col("k") % 100 == 0)), F.count_if("maybe")).first()
+    assert known == 2000 and doubted < 6000
+
+
+@pytest.mark.parametrize("slices, slice_rows", [(2, 4), (3, 10), (16, 50), (128, 200_000)])
+@pytest.mark.parametrize("max_groups", [None, 10])
+def test_median_in_rounds(spark, slices, slice_rows, max_groups):
+    rng = random.Random(slices)
+    data = [("hot", rng.gauss(0, 1e3)) for _ in range(1500)] + [("ties", float(rng.randrange(3))) for _ in range(101)]
+    data += [("even", float(2 ** i)) for i in range(60)] + [(None, -1.0), (None, 4.0), ("same", 5.0), ("same", 5.0)]
+    data += [("gap", None), ("gap", float("nan")), ("far", 1.0), ("far", float("inf")), ("far", 2.0)]
+    df = spark.createDataFrame(data, "g string, v double")
+    found = {r.g: r.median for r in quantiles.exact_median(
+        df, ["g"], "v", slices=slices, slice_rows=slice_rows, max_groups=max_groups).collect()}
+    groups = {}
+    for g, v in data:
+        if v is not None and v == v:
+            groups.setdefault(g, []).append(v)
+    assert found == {g: statistics.median(v) for g, v in groups.items()}
+
+
 def test_null_groups_stay(spark):
     from laptrace.operators.quantiles import exact_median
     from laptrace.operators.ranking import shuffled_rank
