@@ -39,6 +39,7 @@ def trigrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
     gap = buf == 32
     keep = np.ones(len(buf), bool)
     keep[1:] = ~(gap[1:] & gap[:-1])
+    keep[words.offsets[words.offsets < len(buf)]] = True  # a run ends with its text, whatever text is before it
     at = np.flatnonzero(keep)
     owner = np.searchsorted(words.offsets, at, side="right") - 1
     b = buf[at].astype(np.uint64)

@@ -1,9 +1,15 @@
+import math
+import random
+import re
 import time
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from laptrace.llm import language
+from laptrace.llm.words import mixed
 
 SF = "/root/testdata/sf0.01"
 
@@ -78,6 +84,83 @@ def test_languages_in_blocks(spark, labelled, monkeypatch):
     assert abs(float(sum(map(sum, language.np.exp(whole)))) - 4) < 1e-6
 
 
+def letters_of(text):
+    """Bins of a text's trigrams, one by one."""
+    plain = re.sub(rb"[\x00-\x60\x7b-\x7f]+", b" ", (text or "").encode().lower())
+    codes = [int.from_bytes(plain[i:i + 3], "big") for i in range(len(plain) - 2)]
+    return [int(b) for b in mixed(np.array(codes, np.uint64)) >> np.uint64(50)] if codes else []
+
+
+def brute(pages, labelled):
+    """Bayes' rule page by page, in plain Python."""
+    known = sorted({lang for _, lang in labelled if lang is not None})
+    likely = []
+    for lang in known:
+        n = Counter(b for text, own in labelled if own == lang for b in letters_of(text))
+        total = sum(n.values()) + 0.5 * language.BINS
+        likely.append(lambda b, n=n, total=total: math.log((n[b] + 0.5) / total))
+    k, facts = len(known), []
+    for page, url, html in pages:
+        host = re.match(r"https?://([^/]+)", url or "")
+        host = host and host[1].lower()
+        text = re.sub(r"<[^>]*>", " ", html or "")
+        bins = letters_of(text)
+        logs = [sum(map(like, bins)) for like in likely]
+        best = logs.index(max(logs)) if len(bins) >= language.ENOUGH else -1
+        declared = re.search(r'<html lang="([a-z]+)"', html or "")
+        parts = host.split(".") if host else []
+        facts.append((page, host, ".".join(parts[-2:]) if len(parts) > 1 else "", parts[-1] if parts else None,
+                      declared and declared[1], len(bins), best, logs))
+    voted = [f for f in facts if f[6] >= 0]
+
+    def smooth(counts, prior):
+        return [(c + language.SMOOTH * p) / (sum(counts) + language.SMOOTH) for c, p in zip(counts, prior)]
+
+    def votes(some):
+        return [sum(f[6] == j for f in some) for j in range(k)]
+
+    def given(place, value):
+        own = [f for f in voted if f[place] == value and value is not None]
+        total = votes([f for f in voted if f[place] is not None])
+        return [(v + 0.5) / (t + 0.5 * k) for v, t in zip(votes(own), total)] if own else [1.0] * k
+
+    everywhere, out = smooth(votes(voted), [1 / k] * k), []
+    for page, host, domain, suffix, declared, n, best, logs in facts:
+        mine = [f for f in voted if f[1] == host and host is not None]
+        prior = everywhere
+        if mine:
+            near = smooth(votes([f for f in voted if f[1] is not None and f[2] == domain]), everywhere)
+            prior = smooth([v - (j == best) for j, v in enumerate(votes(mine))], near)
+        score = [language.TEMPER * t + math.log(d) + math.log(s) + math.log(p)
+                 for t, d, s, p in zip(logs, given(4, declared), given(3, suffix), prior)]
+        top = max(score)
+        out.append((page, known[score.index(top)], round(1 / sum(math.exp(x - top) for x in score), 6),
+                    known[best] if best >= 0 else None, declared, host, n))
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_against_brute_force(spark, parts):
+    """Every column of every page, however the pages are dealt to tasks."""
+    rng = random.Random(5)
+    words = {lang: ["".join(rng.choices(letters, k=rng.randrange(2, 8))) for _ in range(40)]
+             for lang, letters in (("aa", "abcdefgh"), ("bb", "efghijklm"), ("cc", "ghabmnøæ"))}
+    labelled = [(" ".join(rng.choices(words[lang], k=40)), lang) for lang in words for _ in range(4)]
+    labelled += [(None, "aa"), ("", "dd"), ("x y z", None)]
+    pages = [(1000, None, None), (1001, "", ""), (1002, "http://a.one.org/", None), (1000, "http://new.org/", "ab")]
+    for i in range(80):
+        lang = rng.choice(list(words))
+        said = rng.choice(["", f'<html lang="{lang}">', '<html lang="bb">', '<html lang="zz">'])
+        text = " ".join(rng.choices(words[lang] + words["bb"][:9], k=rng.choice([0, 1, 4, 30])))
+        host = rng.choice([f"{lang}.one.org", "a.one.org", "b.two.net", "localhost", f"x{i}.{lang}"])
+        pages.append((i, f"http://{host}/p", f"{said} <p>{text}</p>" + rng.choice(["", " ", "\n"])))
+    docs = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(parts)
+    known = spark.createDataFrame(labelled, "text string, lang string").repartition(parts)
+    found = [(r.page_id, r.lang, round(r.confidence, 6), r.text_lang, r.declared, r.host, r.n_trigrams)
+             for r in language.identify(docs, known).collect()]
+    assert sorted(found, key=repr) == sorted(brute(pages, labelled), key=repr)
+
+
 def test_visible_text(spark):
     pages = {"a<b": "a<b", "a<b>c<i": "a c<i", "<p>x &amp; y</p>z": " x   y z", "x<script>y": "x ", "x<STYLE a>y</style >z": "x z",
              "x<!-- <p>y": "x ", "<a href='x<y'>t</a>u": " t u", "5 < 6 and 7 > 2": "5   2", "": "", "plain": "plain",
