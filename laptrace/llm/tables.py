@@ -83,6 +83,24 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def summed_before(df: DataFrame, name: str, value: Column, *order: Column) -> DataFrame:
+    """Adds the sum of a whole-numbered ``value`` over all rows before each one, in the given total order.
+
+    Ranges as in :func:`numbered`: a task sums within one range, ranges start from the sums of those before.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(df.withColumn("value_", value).repartitionByRange(parts, *order).withColumn(
+        "range_", F.spark_partition_id()), "ranges")
+    earlier = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("range_").agg(F.sum("value_").alias("all_")).select(
+        "range_", F.coalesce(F.sum("all_").over(earlier), F.lit(0)).alias("offset_"))
+    above = Window.partitionBy("range_").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("value_").over(above), F.lit(0))
+    return (ranged.withColumn("inside_", inside).join(offsets, "range_")
+            .withColumn(name, F.col("offset_") + F.col("inside_")).drop("range_", "value_", "inside_", "offset_"))
+
+
 def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """Adds the position of each row, from 1, in the given total order.
 
