@@ -319,3 +319,13 @@ def test_a_million_features_without_a_list(spark):
     sums = scoring.filled_sums(rows, scoring.defaults(coded), "name").first()
     assert (sums.n_given, sums.total) == (2, 4.5 * n + (4.5 - 3) + (1.5 - 9))
     assert scoring.filled_sums(rows, scoring.defaults(coded, fitted=False), "name").first().total == 6.0
+
+
+def test_pages_are_built_where_they_are_read(spark, tmp_path):
+    from laptrace.plans import views
+
+    spark.sql("select id as o_orderkey, id + 1 as o_custkey, date '2024-07-27' as o_orderdate from range(60)").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    pages = views.stored_pages(spark, str(tmp_path))
+    assert pages.where("html like '%</html>'").count() == 60
+    assert {f.split("/")[-2] for f in pages.inputFiles()} == {"orders.parquet"}
