@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from laptrace.functions import dates, encoding, events, jsontext, marks, markup, names
+from laptrace.functions import dates, encoding, events, jsontext, lookups, marks, markup, names
 from laptrace.operators import athletes, labels
 
 
@@ -196,3 +196,17 @@ def test_broken_pages_take_linear_time(spark, part):
     took(1000)
     small = took(100_000)
     assert took(400_000) < 5 * max(small, 2)
+
+
+def test_rows_and_tables_of_odd_markup(spark):
+    page = ("<TABLE a='<b>'>\n<tr class=x><td>1</tr >lost<TR><td>2<tr <tr><td>3</table x></tables><td>4</TABLE ><table><tr>"
+            "<table><tr/><td>5</table>")
+    read = lambda c: F.transform(markup.tables(c), markup.rows)
+    assert apply_all(spark, read, page) == [[["<td>1", "<td>2", "", "<td>3</table x></tables><td>4"], ["<td>5"]]]
+
+
+def test_costly_texts_are_mentioned_once():
+    text = F.concat(F.lit("costly"), F.col("c"))
+    for fn in (markup.plain_text, markup.inner_text, markup.unescape, markup.session_of, lookups.none_if_blank):
+        assert str(fn(text)).count("costly") == 1
+    assert str(markup.page_title(text)).count("costly") == 2  # a search for either tag
