@@ -141,6 +141,18 @@ def test_wide_and_long_agree(spark):
     assert "50mFly_SCM_Age23_FastestTime" not in youth_kept.columns
 
 
+def test_wide_rows_are_built_without_a_pivot(spark):
+    """Same rows as a pivot, with repeated and missing times, a null name and a name without any of the features."""
+    best = best_frame(spark, [("x", "100mFree", "LCM", 12, 60.0), ("x", "100mFree", "LCM", 12, 59.0), ("x", "100mFree", "LCM", 12, None),
+                              ("y", "50mFly", "SCM", 22, None), (None, "50mFly", "SCM", 22, 31.0), (None, "100mFree", "LCM", 12, 61.0),
+                              ("z", "200mFly", "SCM", 30, 140.0), ("x", None, "SCM", 22, 1.0)])
+    features = ["50mFly_SCM_Age23_FastestTime", "50mFly_SCM_Age22_FastestTime", "100mFree_LCM_Age12_FastestTime"]
+    wide = reshape.widen(best, features)
+    want = reshape.add_feature(best).where(F.col("feature").isin(features)).groupBy("name").pivot("feature", features).agg(F.min("time_seconds"))
+    assert wide.columns == want.columns and rows(wide) == rows(want) and wide.count() == 3
+    assert "pivotfirst" not in wide._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_rename_keeps_the_first_of_colliding_columns(spark):
     wide = spark.createDataFrame([(1.0, 2.0, 3.0)], "100mFree_SCY_Age12_FastestTime double, 100Free_SCY_Age12_FastestTime double, x double")
     out = reshape.rename_standard(wide)
