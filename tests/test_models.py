@@ -163,6 +163,65 @@ def test_best_splits_by_brute_force(least):
             assert abs(gain[k] - best) < 1e-4 and abs(squares(left) + squares(right) - squares(own) - best) < 1e-4
 
 
+def grown_by_sorting(codes, y, weight, forest_, tree, seed):
+    """One tree as ``grow`` makes it, by sorting every node's rows for all features the node may use."""
+    n, width = codes.shape
+    m, least = shared_search.subset_size(forest_["featureSubsetStrategy"], width), forest_["minInstancesPerNode"]
+    rng = np.random.default_rng([seed, tree])
+    bag = np.sort(rng.integers(0, n, n)) if forest_["bootstrap"] else np.arange(n)
+    nodes, level = [[-1, 0, 0, len(bag)]], [(0, bag)]
+    for _ in range(forest_["maxDepth"]):
+        below = []
+        for node, own in sorted(level, key=lambda f: -len(f[1])):
+            if len(own) < max(2, 2 * least) or len(np.unique(y[own])) == 1:
+                continue
+            features = np.arange(width) if m == width else rng.permutation(width)[:m]
+            gain, feature, cut = shared_search.best_splits(
+                codes, y, weight, own[None, :], np.array([len(own)]), features[None, :], least)
+            if gain[0] > -np.inf:
+                goes = codes[own, feature[0]] <= cut[0]
+                nodes[node][:3] = feature[0], cut[0], len(nodes)
+                for side in (own[goes], own[~goes]):
+                    below.append((len(nodes), side))
+                    nodes.append([-1, 0, 0, len(side)])
+        level = below
+    return nodes
+
+
+@pytest.mark.parametrize("steps", [0, 1 << 20])
+@pytest.mark.parametrize("strategy,least,bootstrap,weights", [
+    ("all", 1, True, [1.0, 2.5, 0.5]), ("all", 4, False, [1.0, 1.0, 1.0]), ("sqrt", 1, True, [1.0, 2.5, 0.5]),
+    ("log2", 3, False, [1.0, 1.0, 1.0])])
+def test_counted_trees_are_those_by_sorting(monkeypatch, steps, strategy, least, bootstrap, weights):
+    """Features that tie, a feature of one value and codes that differ in number; with and without the table of steps."""
+    monkeypatch.setattr(shared_search, "STEP_BYTES", steps)
+    monkeypatch.setattr(shared_search, "COUNTED_ROWS", 6)
+    codes, y = rows_of(np.random.default_rng(8), 400, features=9)
+    codes[:, 3], codes[:, 4], codes[:, 5], codes[:, 6] = 7, codes[:, 0], codes[:, 0] // 3, np.arange(400) % 2
+    forest_ = {"minInstancesPerNode": least, "featureSubsetStrategy": strategy, "bootstrap": bootstrap, "maxDepth": 12}
+    made = shared_search.grow(codes, y, np.array(weights), forest_, [0, 1, 5], 42)
+    for tree in made:
+        found = list(map(list, zip(tree["feature"], tree["cut"], tree["below"], tree["rows"], strict=True)))
+        assert found == grown_by_sorting(codes, y, np.array(weights), forest_, tree["tree"], 42)
+
+
+@pytest.mark.parametrize("strategy", ["all", "sqrt"])
+def test_few_features_are_sorted(monkeypatch, strategy):
+    """Of the features a large node may use, only those are sorted whose counts say that they can hold the best split."""
+    sorted_, given = shared_search.best_splits, []
+
+    def spy(codes, y, weight, rows, size, features, least):
+        given.append(rows.shape[1] * features.size)
+        return sorted_(codes, y, weight, rows, size, features, least)
+
+    monkeypatch.setattr(shared_search, "best_splits", spy)
+    codes, y = rows_of(np.random.default_rng(9), 600, features=100)
+    forest_ = {"minInstancesPerNode": 1, "featureSubsetStrategy": strategy, "bootstrap": True, "maxDepth": 2}
+    made = shared_search.grow(codes, y, np.ones(3), forest_, [0, 1], 42)
+    large = sum(r for t in made for r, f in zip(t["rows"], t["feature"], strict=True) if f >= 0 and r >= shared_search.COUNTED_ROWS)
+    assert large > 1000 and sum(given) < 0.5 * large * shared_search.subset_size(strategy, 100)
+
+
 @pytest.mark.parametrize("strategy", ["sqrt", "all"])
 def test_smaller_forests_are_parts_of_larger_ones(strategy):
     codes, y = rows_of(np.random.default_rng(3), 120)
