@@ -259,6 +259,41 @@ def test_shared_search(spark, train):
     assert alone["macro_f1"] == found[2]["macro_f1"] and alone["params"] == found[2]["params"]
 
 
+@pytest.mark.parametrize("n", [31, 400])
+def test_cuts_are_quantiles_of_all_values(spark, n):
+    rng = np.random.default_rng(5)
+    x = np.stack([rng.normal(size=n).round(2), rng.integers(0, 3, n) / 2, np.full(n, 7.0)])
+    rows = [(at, float(v)) for at in range(3) for v in x[at]]
+    found = shared_search.quantile_cuts(spark.createDataFrame(rows, "at int, x double").repartition(3))
+    for at in range(3):
+        want = {np.sort(x[at])[-(-k * n // 32) - 1] for k in range(1, 32)}
+        assert found[at].tolist() == sorted(want)
+
+
+def test_search_counts_all_rows(spark, monkeypatch):
+    """The cuts hold the quantiles of more than 10,000 rows, and every tree has all rows of the other folds, however few bytes fit."""
+    monkeypatch.setattr(shared_search, "MEMORY_BYTES", 64)
+    monkeypatch.setattr(shared_search, "SENT_BYTES", 0)
+    n, folds = 12_000, 3
+    data = spark.range(n, numPartitions=4).select(
+        F.col("id").cast("string").alias("name"), (F.col("id") % folds).cast("int").alias("fold"),
+        array_to_vector(F.array(F.col("id").cast("double"), (F.col("id") % 2).cast("double"))).alias("features"),
+        F.pmod(F.floor(F.col("id") / 7), F.lit(3)).cast("double").alias("label_index"))
+    cuts = shared_search.quantile_cuts(data.select(F.posexplode(vector_to_array("features")).alias("at", "x")))
+    assert cuts[0].tolist() == [n * k / 32 - 1 for k in range(1, 32)]
+    known = [{"minInstancesPerNode": 1, "featureSubsetStrategy": "all", "weighted": False, "bootstrap": False, "numTrees": 1, "maxDepth": 1},
+             {"minInstancesPerNode": 1, "featureSubsetStrategy": "sqrt", "weighted": False, "bootstrap": False, "numTrees": 120, "maxDepth": 1}]
+    rows = shared_search.coded(data)
+    trees = shared_search.grown(rows, known, 3, folds).collect()
+    assert sorted((t.fold, t.forest, t.tree) for t in trees) == sorted(
+        (f, i, t) for f in range(folds) for i, k in enumerate(known) for t in range(k["numTrees"]))
+    label = np.arange(n) // 7 % 3
+    for t in trees:
+        shares = np.frombuffer(t.shares, "<f4").reshape(-1, 3)
+        of_fold = label[np.arange(n) % folds != t.fold]
+        assert np.array_equal(shares[0], (np.bincount(of_fold, minlength=3) / len(of_fold)).astype(np.float32))
+
+
 def test_registered_search_tries_every_draw(spark, monkeypatch):
     from laptrace.plans import model_queries
 
