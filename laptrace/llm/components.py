@@ -35,10 +35,10 @@ def components(edges: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
             break
         both = links.select(F.col("a").alias("n"), F.col("b").alias("m")).unionAll(
             links.select(F.col("b").alias("n"), F.col("a").alias("m")))
-        large = both.filter("m > n").join(smallest(both), "n").select(F.col("m").alias("a"), F.col("low").alias("b"))
+        large = both.filter("m > n").join(smallest(both).hint("merge"), "n").select(F.col("m").alias("a"), F.col("low").alias("b"))
         large = stored(large.filter("a <> b").distinct(), "large")  # a > b from here on
         down = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low"))
-        small = large.withColumnRenamed("a", "n").join(down, "n")
+        small = large.withColumnRenamed("a", "n").join(down.hint("merge"), "n")
         links = stored(small.select(F.col("b").alias("a"), F.col("low").alias("b")).unionAll(
             down.select(F.col("n").alias("a"), F.col("low").alias("b"))).filter("a <> b").distinct(), "links")
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))

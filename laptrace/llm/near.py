@@ -127,19 +127,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Every bucket's members meet its smallest one first.  What that leaves in different components is
     compared across components, block by block inside a task, which passes on no more links than hold
     the components together; a large group of near copies is spread over many tasks that way.
+
+    Joins are merged from shuffles: a table that grows with the corpus may be small on disk but not in the driver's
+    memory, where a broadcast of it would be built.
     """
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketched = stored(sketches(narrow, width), "sketches")
     known = sketched.filter("digest is not null and doc_id is not null")
     classes = stored(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     # one row per class; an id that stands for several sets keeps them all
-    reps = stored(known.alias("k").join(classes.alias("c"), (F.col("k.digest") == F.col("c.digest"))
+    reps = stored(known.alias("k").join(classes.alias("c").hint("merge"), (F.col("k.digest") == F.col("c.digest"))
                                         & (F.col("k.doc_id") == F.col("c.rep")))
                   .select("doc_id", "n_shingles", "registers").distinct(), "reps")
 
     rows = reps.select("doc_id", "n_shingles", "registers").mapInArrow(giving_back(_band_rows), "key long, rep long, size long")
     pivots = rows.groupBy("key").agg(F.min(F.struct("rep", "size")).alias("p"), F.count("*").alias("n")).filter("n > 1")
-    members = stored(rows.join(pivots, "key").select("key", "rep", "size", F.col("p.rep").alias("pivot"),
+    members = stored(rows.join(pivots.hint("merge"), "key").select("key", "rep", "size", F.col("p.rep").alias("pivot"),
                                                      F.col("p.size").alias("pivot_size")), "members")
     fits = "100 * least(size_a, size_b) >= {0} * greatest(size_a, size_b) and a < b".format(percent)
     first = members.select(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("pivot_size").alias("size_a"),
@@ -147,36 +150,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     confirmed = _confirm(narrow, reps, first, width, percent)
 
     # ids that stand for more than one set are one node
-    doubles = known.select("doc_id", "digest").distinct().join(classes, "digest")
+    doubles = known.select("doc_id", "digest").distinct().join(classes.hint("merge"), "digest")
     several = doubles.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    own = doubles.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    own = doubles.join(several.hint("merge"), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     star = stored(components(confirmed.unionAll(own)), "stars")
 
     # buckets that still hold more than one component are put together where they share members, and
     # the members of such a family are compared in blocks, across components only
-    held = members.select("key", "rep", "size").join(star, F.col("rep") == F.col("node"), "left").withColumn(
+    held = members.select("key", "rep", "size").join(star.hint("merge"), F.col("rep") == F.col("node"), "left").withColumn(
         "comp", F.coalesce("component", "rep")).drop("node", "component")
     split = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("rep").alias("head"))
-    open_ = stored(held.join(split.filter("lo < hi").select("key", "head"), "key"), "open")
+    open_ = stored(held.join(split.filter("lo < hi").select("key", "head").hint("merge"), "key"), "open")
     family = components(open_.select(F.col("rep").alias("a"), F.col("head").alias("b")))
-    joined = open_.select("rep", "comp", "size").distinct().join(family, F.col("rep") == F.col("node"))
+    joined = open_.select("rep", "comp", "size").distinct().join(family.hint("merge"), F.col("rep") == F.col("node"))
     kin = stored(joined.select(F.col("component").alias("family"), "rep", "comp", "size"), "kin")
     blocks = kin.groupBy("family").agg(F.ceil(F.greatest(
         F.count("*") / BLOCK_ROWS, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = kin.join(blocks, "family").withColumn("own", own).withColumn("other", other).select(
+    met = kin.join(blocks.hint("merge"), "family").withColumn("own", own).withColumn("other", other).select(
         "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
         F.col("rep").alias("doc_id"), "comp")
     texts = _texts(narrow, kin.select(F.col("rep").alias("doc_id")))
-    more = met.join(texts, "doc_id").select("family", "i", "j", "own", "doc_id", "comp", "text").groupBy(
+    more = met.join(texts.hint("merge"), "doc_id").select("family", "i", "j", "own", "doc_id", "comp", "text").groupBy(
         "family", "i", "j").applyInArrow(_across(width, percent), "a long, b long")
     links = star.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)
     star = stored(components(links), "stars")
 
-    labels = classes.join(star, classes["rep"] == star["node"], "left").select(
+    labels = classes.join(star.hint("merge"), classes["rep"] == star["node"], "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
-    joined = sketched.join(labels, "digest", "left")
+    joined = sketched.join(labels.hint("merge"), "digest", "left")
     label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", label.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -186,26 +189,42 @@ def _confirm(narrow: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, p
     """The candidate pairs (a, b) whose full sets are similar enough."""
     pairs = stored(pairs, "pairs")
     sketch = reps.select("doc_id", "registers")
-    with_a = pairs.join(sketch.withColumnsRenamed({"doc_id": "a", "registers": "regs_a"}), "a")
-    with_b = with_a.join(sketch.withColumnsRenamed({"doc_id": "b", "registers": "regs_b"}), "b")
+    with_a = pairs.join(sketch.withColumnsRenamed({"doc_id": "a", "registers": "regs_a"}).hint("merge"), "a")
+    with_b = with_a.join(sketch.withColumnsRenamed({"doc_id": "b", "registers": "regs_b"}).hint("merge"), "b")
     likely = stored(with_b.mapInPandas(_likely(percent / 100 - MARGIN), "a long, b long").distinct(), "likely")
     ends = likely.select(F.explode(F.array("a", "b")).alias("doc_id"), "a", "b")
-    texts = ends.join(_texts(narrow, ends.select("doc_id").distinct()), "doc_id")
+    texts = ends.join(_texts(narrow, ends.select("doc_id").distinct()).hint("merge"), "doc_id")
     sides = texts.groupBy("a", "b").agg(
         F.max(F.when(F.col("doc_id") == F.col("a"), F.col("text"))).alias("text_a"),
         F.max(F.when(F.col("doc_id") == F.col("b"), F.col("text"))).alias("text_b"))
     return stored(sides.mapInArrow(giving_back(_verified(width, percent)), "a long, b long"), "confirmed")
 
 
-#: Ids that a broadcast may hold (16 MB); more are met by a shuffle of the texts.
-BROADCAST_IDS = 1_000_000
+#: Ids that a broadcast may hold (each takes some 100 bytes of the driver's memory while it is built); of more only a
+#: bitmap is broadcast, of as many bits an id, 16 MB at most.
+BROADCAST_IDS, BITS_EACH, MOST_BITS = 100_000, 16, 1 << 27
+#: Bits of a row of Spark's bitmaps.
+BITMAP = 32768
 
 
 def _texts(narrow: DataFrame, wanted: DataFrame) -> DataFrame:
     """The texts of the wanted ids, with what stands beside the ids, in a table of their own."""
     wanted = stored(wanted, "wanted")
-    few = wanted.count() <= BROADCAST_IDS
-    return stored(narrow.join(F.broadcast(wanted) if few else wanted, "doc_id"), "texts")
+    n = wanted.count()
+    if n <= BROADCAST_IDS:
+        return stored(narrow.join(F.broadcast(wanted), "doc_id"), "texts")
+    return stored(_possible(narrow, wanted, n).join(wanted.hint("merge"), "doc_id"), "texts")
+
+
+def _possible(narrow: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """The rows whose id a bitmap of hashed ids can't rule out, so that few other texts are shuffled."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP * -(-min(n * BITS_EACH, MOST_BITS) // BITMAP)))
+    part, bit = F.floor(place / BITMAP).cast("int"), F.pmod(place, F.lit(BITMAP)).cast("int")
+    # the aggregate takes the byte and bit of a position as they are, so the same numbers find them again
+    maps = wanted.groupBy(part.alias("part_")).agg(F.bitmap_construct_agg(bit.cast("long")).alias("bits_"))
+    byte = F.conv(F.hex(F.substring("bits_", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    kept = narrow.withColumn("part_", part).join(F.broadcast(stored(maps, "bitmaps")), "part_")
+    return kept.where(F.floor(byte / F.pow(F.lit(2), bit % 8)) % 2 == 1).select(*narrow.columns)
 
 
 def _across(width: int, percent: int):

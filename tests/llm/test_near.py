@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from laptrace.llm import near, setsketch
 from laptrace.llm.components import components
@@ -95,3 +96,32 @@ def test_components(spark, kind, local):
     want = {x: c for x, c in low.items() if any(x in e and e[0] != e[1] for e in edges)}
     found = components(spark.createDataFrame([*edges, (None, 1), (1, 1)], "a long, b long"), local).collect()
     assert {r.node: r.component for r in found} == want and len(found) == len(want)
+
+
+def test_more_ids_than_a_broadcast_holds(spark, monkeypatch):
+    """Only a bitmap is broadcast, which lets all wanted ids through and few others; the texts are the same."""
+    monkeypatch.setattr(near, "BROADCAST_IDS", 10)
+    docs = spark.range(20_000).select((F.col("id") * 7919 - 5000).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    wanted = docs.where("pmod(doc_id, 9) = 2").select("doc_id")
+    n = wanted.count()
+    possible = near._possible(docs, wanted, n)
+    assert wanted.join(possible, "doc_id", "left_anti").isEmpty() and n <= possible.count() < n + 0.1 * 20_000
+    plan = possible.join(wanted.hint("merge"), "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    found = near._texts(docs, wanted)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.where("pmod(doc_id, 9) = 2").collect()))
+
+
+def test_joins_do_not_broadcast_what_grows(spark, monkeypatch):
+    """Small tables are merged like large ones: no relation of ids, classes or components is built in the driver."""
+    plans, old = [], near.stored
+
+    def spy(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return old(df, label)
+
+    monkeypatch.setattr(near, "stored", spy)
+    docs = spark.createDataFrame([(i, f"a b c d e f g h {i % 4} i j k l m n o {i % 7}") for i in range(40)], "doc_id long, text string")
+    out = near.near_duplicates(docs, width=2)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum("BroadcastHashJoin" in p for p in plans) == 2  # the wanted texts, counted before
